@@ -48,6 +48,17 @@ def merge_brackets(df: DataFrame, keys: Sequence[str] = ("host", "path"), line:
                    timeout: int = TIMEOUT_SECONDS, start_mark: str = START_MARK,
                    end_mark: str = END_MARK) -> DataFrame:
     """Rows ``ts, seq, line`` -> ``keys, kind, begin_ts, end_ts, n_lines, text``."""
+    return as_texts(bracket_lines(df, keys, line, timeout, start_mark, end_mark))
+
+
+def as_texts(found: DataFrame) -> DataFrame:
+    text = F.array_join(F.transform("lines", lambda x: x["line"]), " ")
+    return found.select("*", F.size("lines").cast("long").alias("n_lines"), text.alias("text")).drop("lines")
+
+
+def bracket_lines(df: DataFrame, keys: Sequence[str], line: str = "line", timeout: int = TIMEOUT_SECONDS,
+                  start_mark: str = START_MARK, end_mark: str = END_MARK) -> DataFrame:
+    """As ``merge_brackets``, with the lines of each bracket as structs ``sec, seq, line``."""
     is_start = contains_ignoring_case(F.col(line), start_mark)
     is_end = contains_ignoring_case(F.col(line), end_mark) & ~is_start
     lines = df.select(
@@ -100,13 +111,11 @@ def merge_brackets(df: DataFrame, keys: Sequence[str] = ("host", "path"), line:
     orphans = named.where("bracket is null and e = 1").select(
         *keys, F.lit("miss_begin").alias("kind"),
         F.timestamp_seconds("sec").alias("begin_ts"), F.timestamp_seconds("sec").alias("end_ts"),
-        F.lit(1).cast("long").alias("n_lines"), "line")
+        F.array(F.struct("sec", "seq", "line")).alias("lines"))
     # A bracket lasts at most the timeout, so its lines fit one text.
     texts = named.where("bracket is not null").groupBy(*keys, "bracket").agg(
         F.when(F.max("e") == 1, F.lit("merged")).otherwise(F.lit("miss_end")).alias("kind"),
         F.timestamp_seconds(F.min("sec")).alias("begin_ts"),
         F.timestamp_seconds(F.max("sec")).alias("end_ts"),
-        F.count("*").alias("n_lines"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("sec", "seq", "line"))),
-                                 lambda x: x["line"]), " ").alias("text"))
-    return texts.drop("bracket").unionByName(orphans.withColumnRenamed("line", "text"))
+        F.sort_array(F.collect_list(F.struct("sec", "seq", "line"))).alias("lines"))
+    return texts.drop("bracket").unionByName(orphans)

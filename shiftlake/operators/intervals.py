@@ -176,6 +176,21 @@ def step_intervals_by_shift(df: DataFrame, keys: Sequence[str] = ("eqpid", "tube
     )
 
 
+def open_runs(df: DataFrame, keys: Sequence[str] = ("eqpid", "tubeid"), cut_until: Column | None = None,
+              slice_seconds: int = SLICE_SECONDS) -> DataFrame:
+    """The one row per key from which its open last run goes on later.
+
+    With ``cut_until`` the run has been cut up to that moment, so it goes on
+    from the last shift switch at or before it.
+    """
+    payload = _payload(df, keys)
+    runs = _runs_in_slices(df, keys, payload, slice_seconds)
+    rows = _closed_groups(_edge_groups(runs, keys), keys).where("close is null").select(*keys, "rep.*")
+    if cut_until is not None:
+        rows = rows.withColumn("ts", F.greatest("ts", cal.shift_start(cut_until, F.col("site"))))
+    return rows.select(*df.columns)
+
+
 def record_intervals(df: DataFrame, keys: Sequence[str] = ("eqpid", "modulename"),
                      terminal: Column | None = None,
                      slice_seconds: int = SLICE_SECONDS) -> DataFrame:

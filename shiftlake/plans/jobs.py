@@ -123,12 +123,15 @@ def _labelled(df: DataFrame) -> DataFrame:
 def step_efficiency(feed: DataFrame, dimension: DataFrame | None = None, mapping: dict[str, str] | None = None,
                     rules: tuple[StepRule, ...] = STEP_RULES, slice_seconds: int = SLICE_SECONDS) -> DataFrame:
     """Step intervals with shift label and row key; with standard times where a dimension is given."""
-    out = _labelled(intervals.step_intervals(step_feed(feed, mapping, rules=rules), slice_seconds=slice_seconds))
+    out = step_labels(intervals.step_intervals(step_feed(feed, mapping, rules=rules), slice_seconds=slice_seconds))
+    return out if dimension is None else lookup.standard_times(out, dimension)
+
+
+def step_labels(closed: DataFrame) -> DataFrame:
     raw = F.concat_ws("|", "eqpid", "put_time")
-    out = out.select(
+    return _labelled(closed).select(
         "*", cal.shift_label(F.col("ts"), F.col("site")).alias("shift"), F.lit("1").alias("output_qty"),
         F.concat_ws("|", keys.md5_prefix(raw), raw, F.when(F.trim("tubeid") != "", F.col("tubeid"))).alias("row_key"))
-    return out if dimension is None else lookup.standard_times(out, dimension)
 
 
 def step_efficiency_by_shift(feed: DataFrame, mapping: dict[str, str] | None = None,

@@ -196,6 +196,42 @@ FROM done
 
 # Benches, furnaces, boats ----------------------------------------------------
 
+# The streaming forms have seen everything up to two minutes before the last row.
+MARK = "(SELECT max(ts) - INTERVAL 2 MINUTE FROM {source})"
+SEEN_RUNS = RUNS.replace("AS fresh FROM v", f"AS fresh FROM (SELECT * FROM v WHERE ts <= {MARK.format(source='v')})")
+SQL["stream_step_intervals"] = f"""
+WITH {SEEN_RUNS}
+SELECT eqpid, tubeid, step, close_step AS step_name, {_data_type} AS data_type, {fmt('ts')} AS put_time,
+  {fmt('close_ts')} AS end_time, CAST(epoch(close_ts) - epoch(ts) AS BIGINT) AS ct, runcount,
+  close_count AS run_count_next, {row_key(f"(eqpid || '|' || {fmt('ts')})")} || '|' || tubeid AS row_key
+FROM closed
+"""
+SQL["stream_step_intervals_by_shift"] = f"""
+WITH {SEEN_RUNS},
+lim AS (SELECT {MARK.format(source='v')} AS mark),
+span AS (SELECT h.*, coalesce(close_ts, mark) AS until, {shift_start('ts', 'site')} AS first_shift FROM heads h, lim),
+parts AS (SELECT eqpid, tubeid, run, site, eqp_type, step, close_ts, close_step, until,
+            unnest(generate_series(first_shift, greatest(until - INTERVAL 1 SECOND, first_shift), INTERVAL 12 HOUR)) AS s
+          FROM span),
+member AS (SELECT eqpid, tubeid, run, ts, seq, runcount, {shift_start('ts', 'site')} AS s,
+             row_number() OVER (PARTITION BY eqpid, tubeid, run, {shift_start('ts', 'site')}
+               ORDER BY CASE WHEN eqp_type = 'DF' THEN NULL ELSE ts END DESC NULLS LAST,
+                        CASE WHEN eqp_type = 'DF' THEN ts END, seq) AS n,
+             nth, eqp_type FROM r3),
+rep AS (SELECT * FROM member WHERE n = 1 AND (eqp_type <> 'DF' OR nth = 1)),
+filled AS (SELECT p.*, r.ts AS rep_ts, last_value(r.runcount IGNORE NULLS) OVER w AS runcount
+           FROM parts p LEFT JOIN rep r USING (eqpid, tubeid, run, s)
+           WINDOW w AS (PARTITION BY p.eqpid, p.tubeid, p.run ORDER BY p.s ROWS UNBOUNDED PRECEDING)),
+piece AS (SELECT *, coalesce(rep_ts, s) AS start_ts, s + INTERVAL 12 HOUR AS b FROM filled),
+done AS (SELECT *, CASE WHEN b >= close_ts THEN close_ts ELSE b END AS end_ts,
+           CASE WHEN b >= close_ts THEN close_step ELSE {NEXT} END AS step_name FROM piece)
+SELECT eqpid, tubeid, step, step_name, CASE WHEN step_name = {NEXT} THEN 'Y' ELSE 'N' END AS data_type,
+  {fmt('start_ts')} AS put_time, {fmt('end_ts')} AS end_time,
+  CAST(epoch(end_ts) - epoch(start_ts) AS BIGINT) AS ct, runcount, right({shift('start_ts', 'site')}, 1) AS shift,
+  {row_key(f"(eqpid || '|' || {fmt('start_ts')} || '|' || tubeid)")} AS row_key
+FROM done WHERE end_ts <= until
+"""
+
 _module_id = ("CASE modulename WHEN 'SDR' THEN '1' WHEN 'PCS 1' THEN '2' WHEN 'RINSE 1' THEN '2' WHEN 'RINSE 2' THEN '2' "
               "WHEN 'TEXTURE 1' THEN '3' WHEN 'TEXTURE 2' THEN '3' WHEN 'HU|HF' THEN '4' WHEN 'DIO3|HU' THEN '5' "
               "WHEN 'HWD' THEN '6' WHEN 'WAD 1' THEN '7' WHEN 'WAD 2' THEN '7' WHEN 'WAD 3' THEN '7' "
@@ -237,6 +273,14 @@ c AS (SELECT *, lead(ts) OVER (PARTITION BY eqpid, tubeid ORDER BY ts, seq) AS n
 SELECT seq, eqpid, tubeid, puttime AS updatetime, {fmt('next_ts')} AS end_time, {_boat} AS boat_id
 FROM c WHERE next_ts IS NOT NULL
 """
+SQL["stream_cycle_pairs"] = f"""
+WITH {BASE},
+c AS (SELECT *, lead(ts) OVER (PARTITION BY eqpid, tubeid ORDER BY ts, seq) AS next_ts FROM f
+      WHERE k < 97 AND ts <= {MARK.format(source='f WHERE k < 97')})
+SELECT seq, eqpid, tubeid, puttime AS updatetime, {fmt('next_ts')} AS end_time,
+  CAST(epoch(next_ts) - epoch(ts) AS BIGINT) AS ct, {_boat} AS boat_id
+FROM c WHERE next_ts IS NOT NULL
+"""
 _codes = ("CASE load_state WHEN 'Loading' THEN '1' WHEN 'Wait for Loading/Unload' THEN '2' WHEN 'Processing' THEN '3' "
           "WHEN 'Wait for process' THEN '4' WHEN 'Cooling time elapsed' THEN '5' WHEN 'Cooling' THEN '6' ELSE '0' END")
 _rc = ", ".join(f"CASE WHEN (l_partkey + {n}) % 9 > 0 THEN CAST(l_partkey % 7 + {n} AS VARCHAR) END AS rc{n}" for n in range(1, 6))
@@ -297,7 +341,7 @@ chain AS (
   FROM chain c JOIN o ON o.eqpid = c.eqpid AND o.tubeid = c.tubeid AND o.rn = c.rn + 1)
 SELECT eqpid, tubeid, seq, puttime AS put_time FROM chain WHERE kept
 """
-SQL["bracket_merge"] = f"""
+BRACKETS = f"""
 WITH RECURSIVE {BASE},
 l AS (SELECT {pick(SITES, 'user_id')} AS host, CAST(epoch(ts) AS BIGINT) AS sec, ts, seq,
         event_type = 'click' AS s, event_type = 'purchase' AS e,
@@ -317,13 +361,37 @@ st AS (
     CASE WHEN x.e THEN NULL WHEN x.sec - p.open <= 3600 THEN p.open_id WHEN x.s THEN x.rn END
   FROM st p JOIN l x ON x.host = p.host AND x.rn = p.rn + 1),
 y AS (SELECT l.*, st.id FROM st JOIN l USING (host, rn))
+"""
+SQL["bracket_merge"] = BRACKETS + f"""
+SELECT host, CASE WHEN bool_or(e) THEN 'merged' ELSE 'miss_end' END AS kind, {fmt('min(ts)')} AS begin_time,
+  {fmt('max(ts)')} AS end_time, count(*) AS n_lines, string_agg(line, ' ' ORDER BY ts, seq) AS text
+FROM y WHERE id IS NOT NULL GROUP BY host, id
+UNION ALL
+SELECT host, 'miss_begin', {fmt('ts')}, {fmt('ts')}, 1, line FROM y WHERE id IS NULL AND e
+"""
+_log_mark = MARK.format(source="f WHERE k NOT IN (97, 98)")
+SQL["stream_bracket_merge"] = BRACKETS.replace("WHERE k NOT IN (97, 98)", f"WHERE k NOT IN (97, 98) AND ts <= {_log_mark}") + f"""
 SELECT host, CASE WHEN bool_or(e) THEN 'merged' ELSE 'miss_end' END AS kind, {fmt('min(ts)')} AS begin_time,
   {fmt('max(ts)')} AS end_time, count(*) AS n_lines, string_agg(line, ' ' ORDER BY ts, seq) AS text
 FROM y WHERE id IS NOT NULL GROUP BY host, id
+HAVING bool_or(e) OR min(ts) + INTERVAL 3600 SECOND <= {_log_mark}
 UNION ALL
 SELECT host, 'miss_begin', {fmt('ts')}, {fmt('ts')}, 1, line FROM y WHERE id IS NULL AND e
 """
 
+SQL["stream_dedup"] = f"WITH {BASE} SELECT DISTINCT eqpid, runcount FROM v"
+SQL["stream_lookup"] = f"""
+WITH {BASE},
+dims AS (SELECT {device('c_custkey')} AS eqpid, {tube('c_custkey')} AS tubeid, CAST(c_nationkey AS BIGINT) * 7200 AS st,
+           CAST(c_nationkey AS BIGINT) * 3600 + c_custkey % 100 AS setst FROM customer WHERE c_custkey % 3 > 0),
+dim AS (SELECT eqpid, tubeid, max(st) AS st FROM dims GROUP BY eqpid, tubeid),
+j AS (SELECT v.seq, v.eqpid, v.tubeid, CAST(k AS BIGINT) * 100 AS ct, d.st
+      FROM v LEFT JOIN dim d ON v.eqpid = d.eqpid AND v.tubeid = d.tubeid)
+SELECT seq, eqpid, tubeid, ct, coalesce(st, 0) AS st, coalesce(ct - st, 0) AS loss,
+  CASE WHEN ct - st < 600 THEN 'Function' WHEN ct - st > 1800 THEN 'Trouble' WHEN st IS NOT NULL THEN 'Jam' END AS sertue
+FROM j
+"""
+
 # Alarms ----------------------------------------------------------------------
 
 SQL["silence_alarm"] = f"""
@@ -343,6 +411,13 @@ SELECT '2402010000' || replace(eqp_id, '-', '') || lpad(CAST(status AS VARCHAR),
   '2024-02-01 00:00:00' AS create_time
 FROM o
 """
+SQL["stream_window_alarm"] = f"""
+WITH {BASE},
+beat AS (SELECT eqpid AS eqp_id, date_trunc('hour', ts) AS w, ts FROM f WHERE k < 97)
+SELECT eqp_id, {fmt('w')} AS begin_time, {fmt('w + INTERVAL 1 HOUR')} AS end_time, 1 AS status, CAST(count(*) AS INT) AS cnt,
+  '2402010000' || replace(eqp_id, '-', '') || '01' || upper(left(md5(eqp_id || '|' || {fmt('w')}), 4)) AS alarm_id
+FROM beat WHERE w + INTERVAL 1 HOUR <= (SELECT max(ts) FROM beat) GROUP BY eqp_id, w
+"""
 _classes = [d.title() if i % 2 else d for i, d in enumerate(DEFECTS)] + ["ok"]
 _defects = _list(DEFECTS)
 DEFECT = f"""
@@ -362,6 +437,7 @@ t AS (SELECT *, {", ".join(f"CAST(sum(h{i}) OVER w AS BIGINT) AS {counter_name(d
 SELECT seq, boat_id, cell_q, col_q, put_time, {", ".join(counter_name(d) for d in DEFECTS)} FROM t
 WHERE {" OR ".join(f"({counter_name(d)} >= 10 AND {counter_name(d)} - h{i} < 10)" for i, d in enumerate(DEFECTS))}
 """
+SQL["stream_defect_counters"] = f"SELECT boat_id, seq, {', '.join(counter_name(d) for d in DEFECTS)} FROM ({SQL['defect_threshold']})"
 SQL["defect_window_counts"] = f"""
 WITH {DEFECT}
 SELECT boat_id, {fmt("date_trunc('hour', ts)")} AS window_start, {fmt("date_trunc('hour', ts) + INTERVAL 1 HOUR")} AS window_end,
@@ -437,6 +513,14 @@ SQL["sequence_timeout"] = f"""
 WITH {USERS} SELECT user_id, seq, 'timeout' AS outcome FROM u
 WHERE event_type = 'view' AND (t1 IS NULL OR t1 - ts >= INTERVAL 6 HOUR)
 """
+SQL["stream_sequences"] = f"""
+WITH lim AS (SELECT max(ts) - INTERVAL 1 MINUTE AS mark FROM events),
+{USERS.replace("FROM events", "FROM (SELECT * FROM events WHERE ts <= (SELECT mark FROM lim))")},
+o AS (SELECT user_id, seq, s1, CASE WHEN t1 IS NULL THEN CASE WHEN mark - ts >= INTERVAL 6 HOUR THEN 'timeout' END
+        WHEN t1 - ts >= INTERVAL 6 HOUR THEN 'timeout' WHEN e1 = 'purchase' THEN 'match' END AS outcome
+      FROM u, lim WHERE event_type = 'view')
+SELECT user_id, seq, outcome, CASE WHEN outcome = 'match' THEN s1 ELSE seq END AS last_seq FROM o WHERE outcome IS NOT NULL
+"""
 SQL["sequence_three_steps"] = f"""
 WITH {USERS},
 o AS (SELECT *, CASE WHEN t1 IS NULL THEN NULL WHEN t1 - ts >= INTERVAL 24 HOUR THEN 'timeout'

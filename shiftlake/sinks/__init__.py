@@ -1 +1 @@
-
+"""Sinks: keyed tables, JDBC tables, topics."""
