@@ -22,11 +22,11 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_table(spark, f"{sf_dir}/events.parquet")
 
 
-def to_table(stream: DataFrame, label: str) -> DataFrame:
+def to_table(stream: DataFrame, label: str, single_batch: bool = False) -> DataFrame:
     """Run an append stream to the end and read its output."""
     spark = stream.sparkSession
     root = fresh_dir(spark, label)
-    run = (StreamOptions(f"{root}/checkpoint").apply(stream).outputMode("append")
+    run = (StreamOptions(f"{root}/checkpoint", single_batch=single_batch).apply(stream).outputMode("append")
            .format("parquet").option("path", f"{root}/out").start())
     run.awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{root}/out")
@@ -101,7 +101,7 @@ def stream_lookup(spark, sf_dir):
 @query
 def stream_defect_counters(spark, sf_dir):
     rows = jobs.defect_feed(feeds.defect_lines(event_stream(spark, sf_dir)))
-    out = to_table(processors.count_defects(rows), "defect-counters")
+    out = to_table(processors.count_defects(rows), "defect-counters", single_batch=True)
     return out.select("boat_id", "seq", *[counter_name(d) for d in measurements.DEFECTS])
 
 
