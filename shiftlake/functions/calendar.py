@@ -24,11 +24,8 @@ def site_group(site: Column) -> Column:
 
 def day_start(site: Column) -> Column:
     """Offset of the production day in seconds; null for an unknown group."""
-    group = site_group(site)
-    out = F.when(F.lit(False), F.lit(None).cast("int"))
-    for letter, seconds in DAY_START.items():
-        out = out.when(group == letter, F.lit(seconds))
-    return out
+    starts = ", ".join(f"'{letter}', {seconds}" for letter, seconds in DAY_START.items())
+    return F.try_element_at(F.expr(f"map({starts})"), site_group(site))
 
 
 def plus_seconds(ts: Column, seconds: Column | int) -> Column:

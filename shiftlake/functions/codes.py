@@ -32,10 +32,17 @@ ORDER_TYPES = ("YP", "PL", "BY", "YZ", "LY", "CFX", "CC", "GSQ", "GSH", "CID")
 
 
 def decode_with(c: Column, table: dict[str, str], default: str | None = None) -> Column:
-    out = F.when(F.lit(False), F.lit(None).cast("string"))
-    for key, value in table.items():
-        out = out.when(c == key, F.lit(value))
-    return out.otherwise(F.lit(default)) if default is not None else out
+    out = F.try_element_at(text_map(table), c)
+    return F.coalesce(out, F.lit(default)) if default is not None else out
+
+
+def quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def text_map(table: dict[str, str]) -> Column:
+    """The table as one constant map."""
+    return F.expr("map(" + ", ".join(f"{quoted(k)}, {quoted(v)}" for k, v in table.items()) + ")")
 
 
 def site_of(eqpid: Column) -> Column:
@@ -69,11 +76,9 @@ def load_state_code(state: Column) -> Column:
 
 def order_type(comment: Column) -> Column:
     """First code contained in the comment, in the fixed order."""
-    upper = F.upper(comment)
-    out = F.when(F.lit(False), F.lit(None).cast("string"))
-    for code in ORDER_TYPES:
-        out = out.when(upper.contains(code), F.lit(code))
-    return out.otherwise(F.lit("NORMAL"))
+    codes = F.expr("array(" + ", ".join(quoted(c) for c in ORDER_TYPES) + ")")
+    found = F.filter(codes, lambda code: F.contains(F.upper(comment), code))
+    return F.coalesce(F.get(found, F.lit(0)), F.when(comment.isNotNull(), F.lit("NORMAL")))
 
 
 def bin_type(value: Column) -> Column:

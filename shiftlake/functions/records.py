@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .codes import quoted, text_map
 from .text import hump_to_underscore
 
 RECORD = "map<string,string>"
@@ -36,12 +37,7 @@ def renamed_key(key: Column, mapping: dict[str, str], variant: str) -> Column:
     camel humps to lower-case with underscores.
     """
     def renamed(source: Column, otherwise: Column) -> Column:
-        if not mapping:
-            return otherwise
-        out = F.when(F.lit(False), F.lit(None).cast("string"))
-        for old, new in mapping.items():
-            out = out.when(source == old, F.lit(new))
-        return out.otherwise(otherwise)
+        return F.coalesce(F.try_element_at(text_map(mapping), source), otherwise) if mapping else otherwise
 
     if variant == "rename_lower":
         return F.lower(renamed(key, key))
@@ -69,24 +65,20 @@ def normalize_keys(df: DataFrame, record: str = "rec", mapping: dict[str, str] |
 
     pairs = once(df, _pairs=F.transform(F.map_entries(record), entry))
     pairs = pairs.withColumn("_names", F.transform("_pairs", lambda e: e["key"]))
+    clash = F.size(F.array_distinct("_names")) < F.size("_names")
     ordered = F.concat(F.filter("_pairs", lambda e: e["value"].isNotNull()),
                        F.filter("_pairs", lambda e: e["value"].isNull()))
-    clash = F.size(F.array_distinct("_names")) < F.size("_names")
-    first_only = F.transform(
-        F.array_distinct("_names"),
-        lambda n: F.struct(n.alias("key"),
-                           F.get(F.filter(ordered, lambda e: e["key"] == n), F.lit(0))["value"].alias("value")))
+    first_only = F.filter(ordered, lambda e, i: ~F.exists(
+        F.slice(ordered, F.lit(1), i), lambda earlier: earlier["key"] == e["key"]))
     merged = F.when(clash, F.map_from_entries(first_only)).otherwise(F.map_from_entries("_pairs"))
     return once(pairs, **{record: merged}).drop("_pairs", "_names")
 
 
 def field(name: str, record: str = "rec") -> Column:
-    return F.try_element_at(F.col(record), F.lit(name))
+    return F.expr(f"try_element_at({record}, {quoted(name)})")
 
 
 def has_keys(names: list[str], record: str = "rec") -> Column:
     """All keys are present; a null value still counts."""
-    out = F.lit(True)
-    for name in names:
-        out = out & F.map_contains_key(F.col(record), name)
-    return F.coalesce(out, F.lit(False))
+    held = " AND ".join(f"map_contains_key({record}, {quoted(n)})" for n in names)
+    return F.expr(f"coalesce({held}, false)")

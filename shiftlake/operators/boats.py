@@ -54,13 +54,16 @@ def unpivot_boats(df: DataFrame, processing_only: bool, record: str = "rec") ->
     rows = df.select(
         *[c for c in df.columns if c != record], record,
         eqpid.alias("eqp_id"), field("puttime", record).alias("put_time"),
-        F.concat(F.element_at(F.split(eqpid, "-"), -1), F.lit("-")).alias("_own"),
-        F.explode(F.sequence(F.lit(1), F.lit(BOAT_SLOTS))).alias("_slot"))
-    boats = rows.select(
-        *[c for c in rows.columns if c != "_slot"],
-        *[text(F.concat(F.lit("boat"), F.col("_slot"), F.lit("." + source))).alias(name)
-          for source, name in BOAT_FIELDS.items()])
-    boats = boats.where(F.startswith("tube_id", "_own"))
+        F.concat(F.element_at(F.split(eqpid, "-"), -1), F.lit("-")).alias("_own"))
+
+    def of_slot(slot: Column, source: str) -> Column:
+        return text(F.concat(F.lit("boat"), slot, F.lit("." + source)))
+
+    # Only the slots with an own tube become rows, and only their fields go along.
+    own = F.filter(F.expr(f"sequence(1, {BOAT_SLOTS})"),
+                   lambda n: F.startswith(of_slot(n, "tube"), F.col("_own")))
+    found = F.transform(own, lambda n: F.struct(*[of_slot(n, s).alias(c) for s, c in BOAT_FIELDS.items()]))
+    boats = rows.select("*", F.inline(found))
     number = F.replace(F.col("tube_id"), F.col("_own"), F.lit(""))
     boats = boats.withColumn("run_count", text(F.concat(F.lit("tube"), number, F.lit(".runcount"))))
     boats = boats.where(not_blank(F.col("run_count")))

@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..functions.codes import text_map
+
 # The cycle of steps.
 STEPS = ("LOAD", "CONDITION", "PROCESS", "CLEAN", "UNLOAD", "CHANGE")
 
@@ -45,20 +47,22 @@ STEP_RULES = tuple(
 
 
 def tag_step(eqp_type: Column, text: Column, rules: tuple[StepRule, ...] = STEP_RULES) -> Column:
-    """Step announced by ``text`` (already trimmed); null when no rule fits. The first rule wins."""
-    out = F.when(F.lit(False), F.lit(None).cast("string"))
+    """Step announced by ``text`` (already trimmed); null when no rule fits.
+
+    Rules of kind ``same`` are one constant map; the others are tried after it
+    in their order.
+    """
+    same: dict[str, str] = {}
     for rule in rules:
-        hit = {
-            "same": F.lower(text) == rule.text.lower(),
-            "exact": text == rule.text,
-            "contains": text.contains(rule.text),
-        }[rule.kind]
-        out = out.when((eqp_type == rule.eqp_type) & hit, F.lit(rule.step))
+        if rule.kind == "same":
+            same.setdefault(f"{rule.eqp_type}|{rule.text.lower()}", rule.step)
+    out = F.try_element_at(text_map(same), F.concat_ws("|", eqp_type, F.lower(text)))
+    for rule in rules:
+        if rule.kind != "same":
+            hit = text == rule.text if rule.kind == "exact" else text.contains(rule.text)
+            out = F.coalesce(out, F.when((eqp_type == rule.eqp_type) & hit, F.lit(rule.step)))
     return out
 
 
 def next_step(step: Column) -> Column:
-    out = F.when(F.lit(False), F.lit(None).cast("string"))
-    for here, there in zip(STEPS, STEPS[1:] + STEPS[:1]):
-        out = out.when(step == here, F.lit(there))
-    return out
+    return F.try_element_at(text_map(dict(zip(STEPS, STEPS[1:] + STEPS[:1]))), step)

@@ -21,7 +21,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def pick(values: tuple[str, ...] | list[str], index: Column) -> Column:
-    return F.get(F.array(*[F.lit(v) for v in values]), (index % len(values)).cast("int"))
+    listed = F.expr("array(" + ", ".join(codes.quoted(v) for v in values) + ")")
+    return F.get(listed, (index % len(values)).cast("int"))
 
 
 def device_id(number: Column) -> Column:
@@ -52,15 +53,24 @@ def device_events(events: DataFrame) -> DataFrame:
         pick(STEPS, F.col("k")).alias("step"),
         F.when(F.col("k") == 98, F.lit("2024-13-45 00:00:00")).when(F.col("k") == 99, F.lit(" "))
         .otherwise(format_second(F.col("at"))).alias("puttime"))
-    text = F.lit(None).cast("string")
-    for rule in reversed(STEP_RULES):
-        text = F.when((F.col("eqp_type") == rule.eqp_type) & (F.col("step") == rule.step),
-                      F.lit(rule.text)).otherwise(text)
-    return rows.select("*", text.alias("text1"))
+    texts = codes.text_map({f"{r.eqp_type}|{r.step}": r.text for r in STEP_RULES})
+    return rows.select("*", F.try_element_at(texts, F.concat_ws("|", "eqp_type", "step")).alias("text1"))
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """Spread a table of few splits (a single small file) over the cores.
+
+    JSON work is heavy per row. A table with enough splits is left alone.
+    """
+    if rows.isStreaming:
+        return rows
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
 
 
 def lines(rows: DataFrame, fields: dict[str, Column], *kept: str, wrap: str | None = None) -> DataFrame:
     """Rows -> ``value`` (JSON of ``fields``, below ``wrap`` if given), ``seq`` and ``kept``."""
+    rows = spread(rows)
     body = F.struct(*[c.alias(n) for n, c in fields.items()])
     text = F.to_json(F.struct(body.alias(wrap)) if wrap else body)
     if "k" in rows.columns:
@@ -69,10 +79,10 @@ def lines(rows: DataFrame, fields: dict[str, Column], *kept: str, wrap: str | No
 
 
 def loader_feed(events: DataFrame) -> DataFrame:
-    """Loader lines: clashing id keys, a null note, and a factory given in some."""
+    """Loader lines; in some of them clashing id keys, a factory, or no note."""
     k = F.col("k")
     return lines(device_events(events), {
-        "EqpID": F.col("eqpid"), "eqpid": F.lit("X9-ZZ99"), "TubeID": F.col("tubeid"),
+        "EqpID": F.col("eqpid"), "eqpid": F.when(k % 10 == 3, F.lit("X9-ZZ99")), "TubeID": F.col("tubeid"),
         "PutTime": F.col("puttime"), "Tube2Text1": F.col("text1"), "RunCount": k.cast("string"),
         "Factory": F.when(k % 10 == 0, F.lit("9")), "Note": F.when(k % 2 == 0, F.lit("even")),
     }, "event_type")

@@ -31,6 +31,8 @@ def local_session(cpus: int | str = 8, memory: str = "12g") -> SparkSession:
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.python.unix.domain.socket.enabled", "true")
+        # Recording the call site of every expression costs more than building it.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in SESSION_CONF.items():
         builder = builder.config(key, value)
