@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 # Start positions; group offsets and none resume from the checkpoint.
 START_POSITIONS = {"earliest": "earliest", "latest": "latest", "groupoffsets": None, "none": None}
 
+BUILT_IN_CHARSETS = {"US-ASCII", "ISO-8859-1", "UTF-8", "UTF-16BE", "UTF-16LE", "UTF-16", "UTF-32"}
+
 
 @dataclass(frozen=True)
 class TopicSource:
@@ -49,7 +51,12 @@ def read_topics(spark: SparkSession, source: TopicSource) -> DataFrame:
 
 
 def tag_records(raw: DataFrame, key_type: str = "topic", charset: str = "UTF-8") -> DataFrame:
-    """Decode the value and tag each record with its topic or its key."""
+    """Decode the value and tag each record with its topic or its key.
+
+    Any charset the JVM knows; those beyond the ANSI list need a session switch.
+    """
+    if charset.upper() not in BUILT_IN_CHARSETS:
+        raw.sparkSession.conf.set("spark.sql.legacy.javaCharsets", "true")
     value = F.decode(F.col("value"), charset)
     if key_type == "topic":
         tag = F.col("topic")
