@@ -34,8 +34,9 @@ def window_status(events: DataFrame, seconds: int) -> DataFrame:
 
     ``events`` carries ``ok``: 1 for a real message, 0 for an expected device.
     """
-    return events.groupBy("eqp_id", window_of(F.col("ts"), seconds).alias("w")).agg(
-        F.sum("ok").cast("int").alias("cnt"), F.max("ok").cast("int").alias("status"))
+    counted = events.groupBy("eqp_id", window_of(F.col("ts"), seconds).alias("w")).agg(
+        F.sum("ok").cast("int").alias("cnt"))
+    return counted.withColumn("status", (F.col("cnt") > 0).cast("int"))
 
 
 def expected_beats(devices: DataFrame, start: Column, end: Column, seconds: int) -> DataFrame:
@@ -47,12 +48,6 @@ def expected_beats(devices: DataFrame, start: Column, end: Column, seconds: int)
         "eqp_id", F.timestamp_seconds("s").alias("ts"), F.lit(0).alias("ok"))
 
 
-def with_expected(beats: DataFrame, expected: DataFrame) -> DataFrame:
-    """Real and placeholder messages in one stream. Real messages of a device
-    that is not listed stay in."""
-    return beats.select("eqp_id", "ts", F.lit(1).alias("ok")).unionByName(expected.select("eqp_id", "ts", "ok"))
-
-
 def alarms(status: DataFrame, created: Column | None = None) -> DataFrame:
     """Window results as alarm records. The id is a digest of device and window."""
     eqp = F.col("eqp_id")
@@ -79,13 +74,21 @@ def alarms(status: DataFrame, created: Column | None = None) -> DataFrame:
 
 def silence_alarms(beats: DataFrame, devices: DataFrame, seconds: int, start: Column | None = None,
                    end: Column | None = None, created: Column | None = None) -> DataFrame:
-    """Batch form: every listed device x window, full outer with the messages.
+    """Batch form: every listed device x window, full outer with the messages;
+    real messages of a device that is not listed stay in.
 
     Without bounds the windows cover the time between the first and the last
-    message.
+    message. Messages are reduced to windows first; the bounds and the result
+    both read that reduced shuffle.
     """
-    span = beats.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi"))
-    start = span.select("lo").scalar() if start is None else start
-    end = span.select("hi").scalar() if end is None else end
-    expected = expected_beats(devices, start, end, seconds)
-    return alarms(window_status(with_expected(beats, expected), seconds), created)
+    real = window_status(beats.select("eqp_id", "ts", F.lit(1).alias("ok")), seconds)
+    heard = real.where("cnt > 0")
+    start = heard.agg(F.min("w.start")).scalar() if start is None else start
+    end = heard.agg(F.max("w.start")).scalar() if end is None else end
+    expected = expected_beats(devices, start, end, seconds).select(
+        "eqp_id", F.struct(F.col("ts").alias("start"),
+                           F.timestamp_seconds(F.unix_timestamp("ts") + seconds).alias("end")).alias("w"),
+        F.col("ok").alias("cnt"), F.col("ok").alias("status"))
+    both = real.unionByName(expected).groupBy("eqp_id", "w").agg(
+        F.sum("cnt").cast("int").alias("cnt"), F.max("status").cast("int").alias("status"))
+    return alarms(both, created)

@@ -199,7 +199,7 @@ def record_intervals(df: DataFrame, keys: Sequence[str] = ("eqpid", "modulename"
     Rows where ``terminal`` holds keep an empty end and ct 0. The last record
     of a key is not returned.
     """
-    paired = with_neighbours(df, keys, ["ts", "seq"], [F.col("ts").alias("ts")],
+    paired = with_neighbours(df, keys, ["ts", "seq"], ["ts"],
                              slice_seconds=slice_seconds).where("_next_1 is not null")
     stays = F.lit(False) if terminal is None else terminal
     return paired.select(
@@ -217,7 +217,7 @@ def cycle_pairs(df: DataFrame, keys: Sequence[str] = ("eqpid", "tubeid"), emit_o
     ``emit_open`` also returns the first record of each key on its own, with
     no end, as a count window does before it holds two records.
     """
-    paired = with_neighbours(df, keys, ["ts", "seq"], [F.col("ts").alias("ts")],
+    paired = with_neighbours(df, keys, ["ts", "seq"], ["ts"],
                              slice_seconds=slice_seconds)
     closed = paired.where("_next_1 is not null").select(*df.columns, F.col("_next_1.ts").alias("end_ts"))
     if not emit_open:

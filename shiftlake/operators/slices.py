@@ -27,10 +27,10 @@ def with_slice(df: DataFrame, ts: str, seconds: int = SLICE_SECONDS) -> DataFram
     return df.withColumn(SLICE, F.floor(F.unix_timestamp(F.col(ts)) / F.lit(seconds)).cast("long"))
 
 
-def with_neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str], take: Sequence[Column | str],
+def with_neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str], take: Sequence[str],
                     name: str = "_next", ahead: int = 1, back: bool = False,
                     slice_seconds: int = SLICE_SECONDS) -> DataFrame:
-    """Add ``name_1`` .. ``name_<ahead>``: the next rows of the key as structs.
+    """Add ``name_1`` .. ``name_<ahead>``: columns ``take`` of the next rows of the key as structs.
 
     ``order`` starts with the event time and must be a total order within the
     key. With ``back`` the previous rows are taken instead. A missing
@@ -38,28 +38,30 @@ def with_neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str], ta
     """
     step = F.lag if back else F.lead
     other = F.lead if back else F.lag
-    names = [f"{name}_{i}" for i in range(1, ahead + 1)]
-    row = F.struct(*take)
+    offsets = range(1, ahead + 1)
+
+    def neighbours(window) -> list[Column]:
+        # Column by column: a struct made here would be shuffled beside the
+        # columns it is made of.
+        return [c for i in offsets for c in (
+            step(F.lit(1), i).over(window).alias(f"_there_{i}"),
+            *[step(t, i).over(window).alias(f"_n{i}_{t}") for t in take])]
+
+    packed = [F.when(F.col(f"_there_{i}").isNotNull(),
+                     F.struct(*[F.col(f"_n{i}_{t}").alias(t) for t in take])).alias(f"{name}_{i}") for i in offsets]
 
     local = Window.partitionBy(*keys, SLICE).orderBy(*order)
-    marked = with_slice(df, order[0], slice_seconds)
-    marked = marked.select(
-        "*",
-        *[step(row, i).over(local).alias(n) for i, n in enumerate(names, 1)],
-        other(F.lit(1), ahead).over(local).isNull().alias("_entry"),
-    )
-    needs_more = F.col(names[-1]).isNull()
-    inner = marked.where(~needs_more)
+    rows = with_slice(df, order[0], slice_seconds)
+    inner = rows.select("*", *neighbours(local)).where(F.col(f"_there_{ahead}").isNotNull())
 
-    # Both branches read the same exchange; only slice edges move again.
+    # The rows at the slice edges, read from the same exchange, move again.
     whole = Window.partitionBy(*keys).orderBy(*order)
-    kept = [c for c in marked.columns if c not in names]
-    edges = marked.where(needs_more | F.col("_entry")).select(
-        *kept, needs_more.alias("_open"),
-        *[step(row, i).over(whole).alias(n) for i, n in enumerate(names, 1)],
-    ).where("_open")
-    return (inner.select(*df.columns, *names)
-            .unionByName(edges.select(*df.columns, *names)))
+    edges = rows.select(
+        "*",
+        step(F.lit(1), ahead).over(local).isNull().alias("_open"),
+        other(F.lit(1), ahead).over(local).isNull().alias("_entry"),
+    ).where("_open or _entry").select(*df.columns, "_open", *neighbours(whole)).where("_open")
+    return inner.select(*df.columns, *packed).unionByName(edges.select(*df.columns, *packed))
 
 
 def slice_totals(df: DataFrame, keys: Sequence[str], sums: dict[str, Column]) -> DataFrame:

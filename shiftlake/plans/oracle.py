@@ -194,6 +194,15 @@ SELECT eqpid, tubeid, step, step_name, CASE WHEN step_name = {NEXT} THEN 'Y' ELS
 FROM done
 """
 
+SQL["stream_keyed_load"] = f"""
+WITH {BASE},
+r AS (SELECT *, {row_key("(eqpid || '|' || puttime || '|' || tubeid)")} AS row_key FROM v)
+SELECT row_key, min({day_date('ts')}) AS day_date, min(eqpid) AS eqpid,
+  arg_max(CASE WHEN k % 10 = 0 THEN '9' ELSE {factory('site')} END, seq) AS factory, arg_max(runcount, seq) AS runcount,
+  arg_max('even', seq) FILTER (WHERE k % 2 = 0) AS note, arg_max(text1, seq) AS text1
+FROM r GROUP BY row_key
+"""
+
 # Benches, furnaces, boats ----------------------------------------------------
 
 # The streaming forms have seen everything up to two minutes before the last row.

@@ -6,16 +6,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.records import field
 from ..functions.text import format_second
 from ..operators import brackets, heartbeat, lookup, measurements, wide
 from ..operators.counters import counter_name
 from ..session import fresh_dir
+from ..sinks.keyed import KeyedTable, columns_of_map
 from ..sources.tables import Refreshing
 from ..sources.topics import map_batches, stream_table
 from ..streaming import builtin, carry, processors
 from ..streaming.options import StreamOptions
+from ..streaming.runner import run_job
 from . import feeds, jobs
-from .queries import BUY, STEP_OUT, query
+from .queries import BUY, LOADER_MAPPING, STEP_OUT, query
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,6 +58,21 @@ def stream_step_intervals_by_shift(spark, sf_dir):
     return jobs.shift_labels(out).select(*STEP_OUT, "shift", "row_key")
 
 
+@query
+def stream_keyed_load(spark, sf_dir):
+    root = fresh_dir(spark, "keyed-load")
+    table = KeyedTable(spark, f"{root}/table", partition="day_date")
+
+    def job(batch: DataFrame) -> DataFrame:
+        rows = jobs.load_records(feeds.loader_feed(batch), LOADER_MAPPING)
+        return columns_of_map(rows.withColumn("row_key", field("row_key")).drop("event_type"))
+
+    run = run_job(event_stream(spark, sf_dir), job, {"out": lambda df, n: table.put(df, ["ts", "seq"], n)},
+                  StreamOptions(f"{root}/checkpoint")).start()
+    run.awaitTermination()
+    return table.read(["row_key", "day_date", "eqpid", "factory", "runcount", "note", "text1"])
+
+
 @query
 def stream_cycle_pairs(spark, sf_dir):
     rows = wide.parse_furnace_log(feeds.furnace_feed(event_stream(spark, sf_dir))).where("ts is not null")

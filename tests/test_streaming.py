@@ -141,3 +141,30 @@ def test_prod_needs_a_checkpoint():
 def test_routes(spark):
     out = builtin.route(spark.range(4), {"low": F.col("id") < 1, "high": F.col("id") >= 1})
     assert {n: d.count() for n, d in out.items()} == {"low": 1, "high": 3}
+
+
+def test_job_to_keyed_table_over_batches(spark, tmp_path):
+    import json
+
+    from shiftlake.functions.records import field
+    from shiftlake.plans import jobs
+    from shiftlake.sinks.keyed import KeyedTable, columns_of_map
+    from shiftlake.streaming.runner import run_job
+
+    def doc(state, **more):
+        return json.dumps({"EqpID": "Z2-DF02", "PutTime": "2020-07-29 14:09:23", "State": state, **more})
+
+    lines = spark.createDataFrame([(doc("PRD", RunCount="7"), BASE, 0), (doc(None, Note="n"), BASE, 1)],
+                                  "value string, ts timestamp, seq bigint")
+    stream = in_files(spark, lines, tmp_path / "in", 2).drop("ts")
+    table = KeyedTable(spark, str(tmp_path / "table"), partition="day_date")
+    seen = []
+
+    def job(batch):
+        rows = jobs.load_records(batch).withColumn("row_key", field("row_key"))
+        return {"table": columns_of_map(rows), "count": rows}
+
+    run_job(stream, job, {"table": lambda d, n: table.put(d, ["ts", "seq"], n), "count": lambda d, n: seen.append(d.count())},
+            StreamOptions(str(tmp_path / "checkpoint"))).start().awaitTermination()
+    assert sum(seen) == 2 and len(table.manifest()["parts"]) == 1
+    assert [tuple(r) for r in table.read(["state", "runcount", "note"]).collect()] == [("PRD", "7", "n")]
