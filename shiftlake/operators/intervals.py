@@ -125,49 +125,50 @@ def step_intervals_by_shift(df: DataFrame, keys: Sequence[str] = ("eqpid", "tube
         F.col("close.step").alias("step_name"),
         _in_order(F.col("step"), F.col("close.step")).alias("data_type"))
 
+    # Latest record per shift of a run, and what closed the run. All windows
+    # keep to the key, so the edges are shuffled once.
     edges = _edge_groups(runs, keys).withColumn(
         "_shift", F.unix_timestamp(cal.shift_start(F.col("head.ts"), F.col("rep.site"))))
-    closed = _closed_groups(edges, keys).select(*keys, "_grp", "close", F.col("head").alias("run_head"))
+    per_shift = edges.groupBy(*keys, "_grp", "_shift").agg(
+        F.first("eqp_type").alias("eqp_type"), F.first("step").alias("step"), F.min("head").alias("head"),
+        F.max_by("rep", "rank").alias("rep"), F.max_by("close", "head").alias("close"))
+    in_key = Window.partitionBy(*keys).orderBy("head.ts", "head.seq")
+    follower = F.struct("head.ts", "head.seq", "head.runcount", "step")
+    next_run = F.when(F.lead("_grp").over(in_key) != F.col("_grp"), F.lead(follower).over(in_key))
+    per_shift = per_shift.withColumn("close", F.coalesce("close", next_run))
+    in_run = Window.partitionBy(*keys, "_grp").orderBy("head.ts", "head.seq")
+    per_shift = per_shift.select(
+        *[c for c in per_shift.columns if c != "close"],
+        F.last("close").over(in_run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("close"),
+        F.row_number().over(in_run).alias("_nth"), F.lead("_shift").over(in_run).alias("_later"))
+    # A DF run stays with its first record, which then covers all shifts.
+    stays = F.col("eqp_type") == FIRST_RECORD_TYPE
+    per_shift = per_shift.where((F.col("_nth") == 1) | ~stays)
+    next_shift = F.when(~stays, F.col("_later"))
     if open_until is None:
-        closed = closed.where("close is not null")
+        per_shift = per_shift.where("close is not null")
     limit = F.coalesce(F.col("close.ts"), open_until) if open_until is not None else F.col("close.ts")
-    closed = closed.withColumn("_limit", limit)
-
-    # Sites without a shift calendar are never cut.
-    uncut = _closed_groups(edges.where("_shift is null"), keys).where("close is not null").select(
-        *keys, "rep", F.col("rep.ts").alias("start_ts"), F.col("close.ts").alias("end_ts"),
-        F.col("close.step").alias("step_name"),
-        _in_order(F.col("step"), F.col("close.step")).alias("data_type"))
-    edges = edges.where("_shift is not null")
-
-    # Latest record per shift of a run. A run that began in the DF type stays
-    # with its first record.
-    per_shift = edges.groupBy(*keys, "_grp", "_shift").agg(
-        F.first("eqp_type").alias("eqp_type"), F.first("step").alias("step"),
-        F.max_by("rep", "rank").alias("rep"))
-    in_run = Window.partitionBy(*keys, "_grp").orderBy("_shift")
-    per_shift = per_shift.withColumn("_nth", F.row_number().over(in_run)).where(
-        (F.col("_nth") == 1) | (F.col("eqp_type") != FIRST_RECORD_TYPE))
-    per_shift = per_shift.withColumn("_next_shift", F.lead("_shift").over(in_run))
+    per_shift = per_shift.withColumn("_limit", limit)
 
     half = cal.HALF_DAY
     last_shift = F.floor((F.unix_timestamp("_limit") - 1 - F.col("_shift")) / half) * half + F.col("_shift")
-    until = F.greatest(F.coalesce(F.col("_next_shift") - half, last_shift), F.col("_shift"))
-    pieces = per_shift.join(closed, [*keys, "_grp"]).select(
+    until = F.greatest(F.coalesce(next_shift - half, last_shift), F.col("_shift"))
+    # Sites without a shift calendar are never cut.
+    uncut = F.array(F.lit(None).cast("long"))
+    pieces = per_shift.select(
         *keys, "rep", "step", "close", "_limit", "_shift",
-        F.explode(F.sequence("_shift", until, F.lit(half))).alias("_at"))
+        F.explode(F.coalesce(F.sequence("_shift", until, F.lit(half).cast("long")), uncut)).alias("_at"))
     switch = F.timestamp_seconds(F.col("_at") + half)
-    at_close = F.col("close").isNotNull() & (switch >= F.col("close.ts"))
+    at_close = F.col("close").isNotNull() & F.coalesce(switch >= F.col("close.ts"), F.lit(True))
     pieces = pieces.select(
         *keys, "rep", "_limit",
-        F.when(F.col("_at") == F.col("_shift"), F.col("rep.ts"))
-        .otherwise(F.timestamp_seconds("_at")).alias("start_ts"),
+        F.when(F.col("_at") > F.col("_shift"), F.timestamp_seconds("_at")).otherwise(F.col("rep.ts")).alias("start_ts"),
         F.when(at_close, F.col("close.ts")).otherwise(switch).alias("end_ts"),
         F.when(at_close, F.col("close.step")).otherwise(next_step(F.col("step"))).alias("step_name"),
         F.when(at_close, _in_order(F.col("step"), F.col("close.step"))).otherwise(F.lit("Y")).alias("data_type"),
     ).where(F.col("end_ts") <= F.col("_limit"))
 
-    out = inner.unionByName(uncut).unionByName(pieces.select(*kept))
+    out = inner.unionByName(pieces.select(*kept))
     return out.select(
         *keys, F.col("rep.ts").alias("orig_start"),
         *[F.col("rep")[c].alias(c) for c in payload if c != "ts"],
