@@ -266,7 +266,7 @@ def tester_feed(lineitem: DataFrame) -> DataFrame:
     code = pick(("yp", "PL-BY", "by", "xYZ", "LY", "cfx", "cc", "GSQ", "gsh", "CID", "none"), part)
     rows = lineitem.withColumn("seq", order * 10 + line)
     return lines(rows, {
-        "eqp_id": F.concat(site, F.lit("-HALM"), F.lpad((part % 30).cast("string"), 2, "0")),
+        "eqp_id": F.concat(site, F.lit("-CT"), F.lpad((part % 30).cast("string"), 2, "0")),
         "TestDate": F.when(line != 7, F.date_format(at, "dd-MM-yyyy")),
         "TestTime": F.when(line != 6, F.concat_ws(
             ":", F.lpad((part % 24).cast("string"), 2, "0"), F.lpad((order % 60).cast("string"), 2, "0"), F.lit("07"))),

@@ -574,7 +574,7 @@ t1 AS (SELECT *, {pick(('G1', 'Z1', 'Z2', 'Z3', 'T1', 'X1'), 'l_orderkey')} AS s
          CASE l_partkey % 4 WHEN 0 THEN '100' WHEN 1 THEN '0' ELSE CAST(l_partkey % 9 AS VARCHAR) END AS bin,
          'lot ' || {pick(("yp", "PL-BY", "by", "xYZ", "LY", "cfx", "cc", "GSQ", "gsh", "CID", "none"), 'l_partkey')} AS comments
        FROM lineitem),
-t2 AS (SELECT *, site || '-HALM' || lpad(CAST(l_partkey % 30 AS VARCHAR), 2, '0') AS eqp_id,
+t2 AS (SELECT *, site || '-CT' || lpad(CAST(l_partkey % 30 AS VARCHAR), 2, '0') AS eqp_id,
          CASE WHEN test_date = '' THEN '1970-01-01' ELSE strftime(l_shipdate, '%Y-%m-%d') END AS begin_date,
          CASE WHEN test_time = '' THEN '00:00:00' ELSE test_time END AS clock FROM t1),
 t AS (SELECT *, begin_date || ' ' || clock AS begin_time, CAST(begin_date || ' ' || clock AS TIMESTAMP) AS moment FROM t2)

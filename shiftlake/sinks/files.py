@@ -55,5 +55,11 @@ class ControlFiles:
         if not self._fs.rename(draft, target):
             raise FileExistsError(f"{target} was written by someone else")
 
+    def remove(self, number: int) -> None:
+        self._fs.delete(self._path(f"{self._stem}-{number:010d}.json"), False)
+
+    def remove_folder(self, folder: str) -> None:
+        self._fs.delete(self._hadoop.fs.Path(folder), True)
+
     def children(self, folder: str) -> list[str]:
         return [s.getPath().getName() for s in self._fs.listStatus(self._hadoop.fs.Path(folder)) if s.isDirectory()]

@@ -38,6 +38,18 @@ class KeyedTable:
         out = self._read_parts(self.manifest()["parts"].values())
         return out if out is None or columns is None else out.select(*columns)
 
+    def vacuum(self, keep: int = 10) -> None:
+        """Remove the data that none of the newest ``keep`` versions refers to."""
+        numbers = self._manifests.numbers()
+        kept = {f.split("/")[1] for n in numbers[-keep:] for f in self._manifests.read(n)["parts"].values()}
+        for n in numbers[:-keep]:
+            self._manifests.remove(n)
+        newest = f"v{numbers[-1]:010d}" if numbers else ""
+        for folder in self._manifests.children(f"{self.path}/data"):
+            # A folder past the newest version belongs to a write under way.
+            if folder not in kept and folder <= newest:
+                self._manifests.remove_folder(f"{self.path}/data/{folder}")
+
     def _read_parts(self, folders) -> DataFrame | None:
         paths = [f"{self.path}/{f}" for f in sorted(folders)]
         return self.spark.read.option("mergeSchema", "true").parquet(*paths) if paths else None

@@ -26,6 +26,9 @@ from .options import StreamOptions
 Step = Callable[[DataFrame, Column], tuple[DataFrame, DataFrame]]
 Sink = Callable[[DataFrame, int], None]
 
+# Only the batch before is needed for a replay; some more help to look into a failure.
+BATCHES_KEPT = 10
+
 
 class Carry:
     def __init__(self, spark: SparkSession, folder: str):
@@ -43,6 +46,9 @@ class Carry:
     def save(self, batch_id: int, rows: DataFrame, watermark: int) -> None:
         rows.write.mode("overwrite").parquet(f"{self._folder}/rows/{batch_id}")
         self._marks.write(batch_id, {"watermark": watermark}, overwrite=True)
+        for old in self._marks.numbers()[:-BATCHES_KEPT]:
+            self._marks.remove(old)
+            self._marks.remove_folder(f"{self._folder}/rows/{old}")
 
 
 def run_ordered(stream: DataFrame, step: Step, sink: Sink, carry_folder: str, options: StreamOptions,

@@ -38,6 +38,15 @@ def test_replay_changes_nothing(spark, tmp_path):
     assert table.manifest()["version"] == version and rows_of(table, "a") == [("1",)]
 
 
+def test_vacuum_keeps_what_is_in_use(spark, tmp_path):
+    table = keyed.KeyedTable(spark, str(tmp_path / "t"), partition="day_date")
+    for day in ("d1", "d2", "d2", "d2"):
+        put(spark, table, [("k" + day, day, "1", "1", 1)], order=["seq"])
+    table.vacuum(keep=1)
+    assert sorted(p.name for p in (tmp_path / "t" / "data").iterdir()) == ["v0000000001", "v0000000004"]
+    assert rows_of(table, "row_key") == [("kd1",), ("kd2",)]
+
+
 def test_new_columns_and_delete(spark, tmp_path):
     table = keyed.KeyedTable(spark, str(tmp_path / "t"))
     put(spark, table, [("k1", "1")], "row_key string, a string")
