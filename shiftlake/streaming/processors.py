@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -13,6 +15,9 @@ from ..operators.counters import THRESHOLD, counter_name
 from ..operators.measurements import DEFECTS
 from ..operators.sequences import Pattern
 
+# Send the processors with the query, so that the package need not be installed on the workers.
+cloudpickle.register_pickle_by_value(sys.modules[__name__.split(".")[0]])
+
 STATE_TTL_MS = 2 * 3600 * 1000
 
 COUNTER_OUT = ("boat_id string, seq bigint, ts timestamp, cell_q string, col_q string, "
