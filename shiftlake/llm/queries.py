@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiftlake.llm import exact_dedup, huffman, packing, url_filter
+from shiftlake.llm import exact_dedup, huffman, packing, quality, simhash, toxicity, url_filter
+from shiftlake.llm.labels import held_out
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -26,6 +27,30 @@ def op1_url_filter(spark, sf_dir):
     return url_filter.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def _judged(docs: DataFrame, score, threshold: float) -> DataFrame:
+    scored = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score.alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+@query
+def op3_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit_on(docs, table(spark, sf_dir, "labels"))
+    return _judged(docs, toxicity.score(F.col("text"), model), toxicity.THRESHOLD)
+
+
+@query
+def op4_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit_on(docs, table(spark, sf_dir, "labels"))
+    return _judged(docs, quality.score(F.col("text"), model), quality.THRESHOLD)
+
+
+@query
+def op5_simhash(spark, sf_dir):
+    return simhash.near_classes(table(spark, sf_dir, "documents"))
+
+
 @query
 def op6_best_fit_packing(spark, sf_dir):
     _, placed = packing.pack(table(spark, sf_dir, "documents"))
