@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiftlake.llm import decontaminate, exact_dedup, huffman, packing, quality, simhash, toxicity, url_filter
+from shiftlake.llm import decontaminate, exact_dedup, html_text, huffman, packing, quality, simhash, toxicity, url_filter
 from shiftlake.llm.labels import held_out
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,6 +57,11 @@ def op6_best_fit_packing(spark, sf_dir):
     return placed.drop("shard", "nth")
 
 
+@query
+def op7_html_text(spark, sf_dir):
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 @query
 def op8_decontamination(spark, sf_dir):
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
