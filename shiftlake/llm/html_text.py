@@ -46,6 +46,7 @@ CHROME_NAMES = {"ad", "ads", "advert", "adverts", "advertisement", "banner", "sp
 CHROME_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alertdialog"}
 _NAMES = re.compile(r"[A-Za-z]+")
 _SPACE = re.compile(r"\s+")
+_MARKED = re.compile(r"<!\[[^>]*>")
 
 
 class _Blocks(HTMLParser):
@@ -133,8 +134,8 @@ class _Blocks(HTMLParser):
 def blocks_of(html: str | None) -> list[tuple[str, str]]:
     """(zone, text) per block. With an article on the page, text outside it is chrome too."""
     parser = _Blocks()
-    # An unknown marked section is text to browsers but an error to this parser.
-    parser.feed((html or "").replace("<![", "&lt;![") if html and "<![" in html else html or "")
+    # To browsers a marked section is a comment; to this parser an unknown one is an error.
+    parser.feed(_MARKED.sub("", html or ""))
     parser.close()
     if any(zone == ARTICLE for zone, _ in parser.found):
         return [(CHROME if zone == OPEN else zone, text) for zone, text in parser.found]

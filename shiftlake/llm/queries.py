@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiftlake.llm import decontaminate, exact_dedup, html_text, huffman, packing, quality, simhash, toxicity, url_filter
+from shiftlake.llm import decontaminate, exact_dedup, html_text, huffman, packing, quality, simhash, substring_dedup, toxicity, url_filter
 from shiftlake.llm.labels import held_out
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +27,12 @@ def op1_url_filter(spark, sf_dir):
     return url_filter.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
+@query
+def op2_substring_dedup(spark, sf_dir):
+    found = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256"))
+
+
 def _judged(docs: DataFrame, score, threshold: float) -> DataFrame:
     scored = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score.alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
