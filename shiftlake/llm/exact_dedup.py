@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shiftlake.llm.staging import staged
+from shiftlake.llm.staging import staged, unused
 
 CLASS = ["digest", "n_bytes", "check"]
 
@@ -67,11 +67,11 @@ def drop_copies(docs: DataFrame, largest: bool = True) -> DataFrame:
     Rows to drop are named by doc_id and digest (null-safe). Of rows that
     repeat both, one stays.
     """
-    text = F.coalesce(F.col("text"), F.lit(""))
-    gone = exact_classes(docs, largest).groupBy(F.col("doc_id").alias("_gone_id"), F.col("text_sha256").alias("_gone_sha")).agg(
-        F.max("kept").alias("_stays"), F.count("*").alias("_times")).where("NOT _stays OR _times > 1")
-    marked = docs.join(
-        gone, docs["doc_id"].eqNullSafe(gone["_gone_id"]) & (F.sha2(F.encode(text, "UTF-8"), 256) == gone["_gone_sha"]), "left")
-    once = marked.where(F.col("_stays").isNull()).select(*[docs[c] for c in docs.columns])
-    again = marked.where("_stays").dropDuplicates(["_gone_id", "_gone_sha"]).select(*[docs[c] for c in docs.columns])
+    ident, sha, stays, times = (unused(docs, n) for n in ("gone_id", "gone_sha", "stays", "times"))
+    gone = exact_classes(docs, largest).groupBy(F.col("doc_id").alias(ident), F.col("text_sha256").alias(sha)).agg(
+        F.max("kept").alias(stays), F.count("*").alias(times)).where(~F.col(stays) | (F.col(times) > 1))
+    own_sha = F.sha2(F.encode(F.coalesce(F.col("text"), F.lit("")), "UTF-8"), 256)
+    marked = docs.join(gone, docs["doc_id"].eqNullSafe(F.col(ident)) & (own_sha == F.col(sha)), "left")
+    once = marked.where(F.col(stays).isNull()).select(*docs.columns)
+    again = marked.where(stays).dropDuplicates([ident, sha]).select(*docs.columns)
     return once.unionByName(again)

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shiftlake.llm import components
-from shiftlake.llm.staging import staged
+from shiftlake.llm.staging import staged, unused
 
 SEED = 42
 SALTS = 64
@@ -108,5 +108,6 @@ def near_classes(docs: DataFrame, width: int = 3, bits: int = 3, segments: int =
 
 def drop_near_copies(docs: DataFrame, **options) -> DataFrame:
     """One row of each class stays (the smallest doc_id), with all its columns. Rows without a doc_id stay."""
-    gone = near_classes(docs, **options).where("component_id < doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    name = unused(docs, "gone_id")
+    gone = near_classes(docs, **options).where("component_id < doc_id").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, F.col("doc_id") == F.col(name), "left_anti")

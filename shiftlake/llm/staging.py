@@ -33,3 +33,11 @@ def staged(df: DataFrame, label: str, codec: str = "zstd") -> DataFrame:
     path = fresh_path(spark, label)
     df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
