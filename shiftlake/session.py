@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 # Wall-clock strings are plant-local; the session zone only has to be one
@@ -22,7 +22,11 @@ STATE_STORE_CONF = {
 }
 
 
-def local_session(cpus: int | str = 8, memory: str = "12g") -> SparkSession:
+# Where a local session shares files when its configuration names no folder.
+LOCAL_SHARED = "/tmp/shiftlake-shared"
+
+
+def local_session(cpus: int | str = 8, memory: str = "12g", **settings: str) -> SparkSession:
     """A local session for tests and the bench; clusters bring their own."""
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
@@ -34,8 +38,10 @@ def local_session(cpus: int | str = 8, memory: str = "12g") -> SparkSession:
         # Recording the call site of every expression costs more than building it.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
-    for key, value in SESSION_CONF.items():
+    for key, value in {**SESSION_CONF, **settings}.items():
         builder = builder.config(key, value)
+    if not SparkConf().get("spark.checkpoint.dir", None) and "spark.checkpoint.dir" not in settings:
+        builder = builder.config("spark.checkpoint.dir", LOCAL_SHARED)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
@@ -51,17 +57,13 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, for checkpoints and written tables.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local master may
-    fall back to a temporary folder.
+    The cluster names it in ``spark.checkpoint.dir``. The setting cannot be
+    made on a running session; ``local_session`` makes it in the builder.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    made = tempfile.mkdtemp(prefix="shiftlake-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    if not configured:
+        raise ValueError("start the session with spark.checkpoint.dir: a folder that all executors share")
+    return configured.rstrip("/")
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:

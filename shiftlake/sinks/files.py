@@ -4,14 +4,15 @@ from __future__ import annotations
 
 import json
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
 class ControlFiles:
     """Numbered JSON files in one folder; the highest number is the current one.
 
-    A number is written once. Two writers racing for the same number make one
-    of them fail instead of losing an update.
+    A number is written once, by an atomic create. Two writers racing for the
+    same number make one of them fail instead of losing an update.
     """
 
     def __init__(self, spark: SparkSession, folder: str, stem: str):
@@ -27,7 +28,7 @@ class ControlFiles:
         folder = self._hadoop.fs.Path(self._folder)
         if not self._fs.exists(folder):
             return []
-        names = [s.getPath().getName() for s in self._fs.listStatus(folder)]
+        names = [s.getPath().getName() for s in self._fs.listStatus(folder) if s.getLen() > 0]
         prefix, ext = f"{self._stem}-", ".json"
         return sorted(int(n[len(prefix):-len(ext)]) for n in names if n.startswith(prefix) and n.endswith(ext))
 
@@ -40,20 +41,21 @@ class ControlFiles:
         return json.loads(raw)
 
     def write(self, number: int, content: dict, overwrite: bool = False) -> None:
-        """Written beside its place and renamed into it, so a reader never sees half a file."""
+        """Claim the number by creating its file, which one writer only can do; with ``overwrite`` replace it.
+
+        A reader that meets a claimed, not yet filled file passes over it (see ``numbers``).
+        """
         target = self._path(f"{self._stem}-{number:010d}.json")
-        if self._fs.exists(target):
-            if not overwrite:
-                raise FileExistsError(f"{target} was written by someone else")
-            self._fs.delete(target, False)
-        draft = self._path(f".{self._stem}-{number:010d}.draft")
-        stream = self._fs.create(draft, True)
+        try:
+            stream = self._fs.create(target, overwrite)
+        except Py4JJavaError as failed:
+            if self._fs.exists(target):
+                raise FileExistsError(f"{target} was written by someone else") from failed
+            raise
         try:
             stream.write(bytearray(json.dumps(content, sort_keys=True).encode()))
         finally:
             stream.close()
-        if not self._fs.rename(draft, target):
-            raise FileExistsError(f"{target} was written by someone else")
 
     def remove(self, number: int) -> None:
         self._fs.delete(self._path(f"{self._stem}-{number:010d}.json"), False)

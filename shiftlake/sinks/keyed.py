@@ -8,6 +8,7 @@ applied again, so a replayed micro-batch changes nothing.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
@@ -44,10 +45,10 @@ class KeyedTable:
         kept = {f.split("/")[1] for n in numbers[-keep:] for f in self._manifests.read(n)["parts"].values()}
         for n in numbers[:-keep]:
             self._manifests.remove(n)
-        newest = f"v{numbers[-1]:010d}" if numbers else ""
+        newest = numbers[-1] if numbers else 0
         for folder in self._manifests.children(f"{self.path}/data"):
             # A folder past the newest version belongs to a write under way.
-            if folder not in kept and folder <= newest:
+            if folder not in kept and int(folder.split("-")[0][1:]) <= newest:
                 self._manifests.remove_folder(f"{self.path}/data/{folder}")
 
     def _read_parts(self, folders) -> DataFrame | None:
@@ -93,8 +94,9 @@ class KeyedTable:
             elif touched and not only_existing:
                 merged = rows
             if merged is not None:
-                folder = f"data/v{version:010d}"
-                merged.write.mode("overwrite").partitionBy(_PART).parquet(f"{self.path}/{folder}")
+                # A folder per attempt: a writer that loses the race leaves the winner's data alone.
+                folder = f"data/v{version:010d}-{uuid.uuid4().hex[:12]}"
+                merged.write.mode("errorifexists").partitionBy(_PART).parquet(f"{self.path}/{folder}")
                 parts |= {n: f"{folder}/{n}" for n in self._manifests.children(f"{self.path}/{folder}")}
         finally:
             rows.unpersist()

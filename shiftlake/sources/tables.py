@@ -76,4 +76,6 @@ class Refreshing:
                 self._current = fresh
         except Exception:
             log.exception("dimension could not be read, the one in use stays")
-        self._read_at = self._clock()
+        # Without any copy the next batch tries again.
+        if self._current is not None:
+            self._read_at = self._clock()

@@ -5,18 +5,32 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Start positions; group offsets and none resume from the checkpoint.
 START_POSITIONS = {"earliest": "earliest", "latest": "latest", "groupoffsets": None, "none": None}
 
+# Options of the source itself.
+SOURCE_OPTIONS = {name.lower(): name for name in (
+    "assign", "startingOffsets", "startingOffsetsByTimestamp", "startingTimestamp", "endingOffsets",
+    "endingOffsetsByTimestamp", "endingTimestamp", "failOnDataLoss", "kafkaConsumer.pollTimeoutMs", "fetchOffset.numRetries",
+    "fetchOffset.retryIntervalMs", "maxOffsetsPerTrigger", "minOffsetsPerTrigger", "maxTriggerDelay", "minPartitions",
+    "maxRecordsPerPartition", "groupIdPrefix", "includeHeaders", "startingOffsetsByTimestampStrategy")}
+
+# Offsets of a topic that no partition reaches within a retention time.
+OFFSET_SPAN = 1 << 46
+
 BUILT_IN_CHARSETS = {"US-ASCII", "ISO-8859-1", "UTF-8", "UTF-16BE", "UTF-16LE", "UTF-16", "UTF-32"}
 
 
 @dataclass(frozen=True)
 class TopicSource:
-    """One topic, a comma list, or a pattern of topics."""
+    """One topic, a comma list, or a pattern of topics.
+
+    ``extra`` holds options of the source under their own names (see
+    ``SOURCE_OPTIONS``); anything else is a property of the broker client.
+    """
 
     servers: str
     topic: str
@@ -40,14 +54,24 @@ class TopicSource:
         if self.discovery_seconds is not None:
             out["kafka.metadata.max.age.ms"] = str(self.discovery_seconds * 1000)
         for name, value in self.extra.items():
-            out[name if name.startswith("kafka.") else f"kafka.{name}"] = value
+            own = SOURCE_OPTIONS.get(name.lower())
+            out[own or (name if name.startswith("kafka.") else f"kafka.{name}")] = value
         return out
 
 
 def read_topics(spark: SparkSession, source: TopicSource) -> DataFrame:
-    """Stream of ``topic, key, value`` (binary), ``seq`` (offset) and ``timestamp``."""
+    """Stream of ``topic, key, value`` (binary), ``seq`` and ``timestamp``.
+
+    ``seq`` orders by partition, then offset: offsets alone repeat across
+    partitions, and ties would leave the order of equal times open.
+    """
     raw = spark.readStream.format("kafka").options(**source.options()).load()
-    return raw.select("topic", "key", "value", F.col("offset").alias("seq"), "timestamp")
+    return raw.select("topic", "key", "value", place("partition", "offset").alias("seq"), "timestamp")
+
+
+def place(partition: str, offset: str) -> Column:
+    """One total order of the records of a topic."""
+    return F.col(partition).cast("long") * OFFSET_SPAN + F.col(offset)
 
 
 def tag_records(raw: DataFrame, key_type: str = "topic", charset: str = "UTF-8") -> DataFrame:

@@ -74,3 +74,45 @@ def test_json_view(spark):
     topics.json_view(spark, feed, "state_alarm", "eqp_id string, cnt string, status string")
     row = spark.sql("SELECT eqp_id, try_cast(cnt AS INT) AS cnt FROM state_alarm WHERE try_cast(status AS INT) = 0").first()
     assert tuple(row) == ("e", 3)
+
+
+def test_source_options_keep_their_names():
+    options = topics.TopicSource("b:9092", "t", extra={"maxOffsetsPerTrigger": "100", "failondataloss": "false", "fetch.max.bytes": "1",
+                                                       "kafka.x": "y"}).options()
+    assert options["maxOffsetsPerTrigger"] == "100" and options["failOnDataLoss"] == "false"
+    assert options["kafka.fetch.max.bytes"] == "1" and options["kafka.x"] == "y"
+
+
+def test_place_is_a_total_order(spark):
+    rows = spark.createDataFrame([(p, o) for p in (0, 1, 2) for o in (0, 5, 1 << 40)], "partition int, offset bigint")
+    got = [tuple(r) for r in rows.orderBy(topics.place("partition", "offset")).collect()]
+    assert got == sorted(got) and rows.select(topics.place("partition", "offset")).distinct().count() == 9
+
+
+def test_shared_folder_has_to_be_named(spark):
+    from shiftlake.session import shared_dir
+
+    class Bare:
+        class conf:
+            get = staticmethod(lambda key, default: default)
+
+    with pytest.raises(ValueError):
+        shared_dir(Bare)
+    assert shared_dir(spark)
+
+
+def test_dimension_is_tried_again_while_there_is_none(spark):
+    from shiftlake.sources.tables import Refreshing
+
+    tries = []
+
+    def load():
+        tries.append(1)
+        if len(tries) == 1:
+            raise OSError("not there yet")
+        return spark.range(2)
+
+    dim = Refreshing(load, clock=lambda: 5.0)
+    with pytest.raises(RuntimeError):
+        dim.get()
+    assert dim.get().count() == 2
