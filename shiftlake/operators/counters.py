@@ -17,22 +17,54 @@ def counter_name(defect: str) -> str:
     return "n_" + defect.replace(" ", "_")
 
 
+# Column of a row that carries the counts of a key from before: count and time of the last write per category.
+CARRIED = "_carried"
+
+
 def _hits(defect: str) -> Column:
     """0, 1 or 2: a record counts for its cell class and for its colour class."""
     return ((F.lower("cell_q") == defect).cast("long") + (F.lower("col_q") == defect).cast("long"))
 
 
+def _counted(df: DataFrame) -> dict[str, Column]:
+    """Counter name -> what a row adds to it; a carrying row adds what it carries."""
+    def adds(i: int, defect: str) -> Column:
+        if CARRIED not in df.columns:
+            return _hits(defect)
+        return F.coalesce(F.col(CARRIED)[i]["n"], _hits(defect))
+
+    return {counter_name(d): adds(i, d) for i, d in enumerate(DEFECTS)}
+
+
+def carried_counts(df: DataFrame, keys: Sequence[str], until: Column, forget_seconds: int) -> DataFrame:
+    """One carrying row per key, at its last record, in the columns of ``df`` (which has ``CARRIED``)."""
+    last = F.max(F.struct("ts", "seq"))
+    written = [F.max(F.when((_hits(d) > 0) | F.col(CARRIED).isNotNull(), F.coalesce(F.col(CARRIED)[i]["at"], F.col("ts"))))
+               for i, d in enumerate(DEFECTS)]
+    rows = df.groupBy(*keys).agg(
+        last.alias("_last"), F.min("ts").alias("_began"),
+        *[F.sum(c).alias(n) for n, c in _counted(df).items()], *[w.alias(f"{counter_name(d)}_at") for d, w in zip(DEFECTS, written)])
+    # A counter counts as written when the key's counting began.
+    entries = [F.struct(F.col(counter_name(d)).alias("n"), F.coalesce(f"{counter_name(d)}_at", "_began").alias("at")) for d in DEFECTS]
+    rows = rows.select(*keys, F.col("_last.ts").alias("ts"), F.col("_last.seq").alias("seq"), F.array(*entries).alias(CARRIED))
+    oldest = F.array_min(F.transform(CARRIED, lambda x: x["at"]))
+    rows = rows.where(F.unix_timestamp(oldest) + forget_seconds >= F.unix_timestamp(until))
+    return rows.select(*[F.col(c) if c in rows.columns else F.lit(None).cast(df.schema[c].dataType).alias(c) for c in df.columns])
+
+
 def defect_threshold(df: DataFrame, keys: Sequence[str] = ("boat_id",), threshold: int = THRESHOLD,
                      slice_seconds: int = SLICE_SECONDS) -> DataFrame:
     """Records at which a running counter of the key reaches the threshold, with all counters.
 
-    Rows need ``ts``, ``seq``, ``cell_q`` and ``col_q``. Counting per slice
+    Rows need ``ts``, ``seq``, ``cell_q`` and ``col_q``. Rows with ``CARRIED``
+    start a key at the counts they carry and are not returned. Counting per slice
     comes first; only the slices in which a counter crosses the threshold (at
     most one per key and category) are then ordered row by row.
     """
-    names = {counter_name(d): d for d in DEFECTS}
+    names = [counter_name(d) for d in DEFECTS]
     rows = with_slice(df, "ts", slice_seconds)
-    totals = slice_totals(rows, keys, {n: _hits(d) for n, d in names.items()})
+    adds = _counted(df)
+    totals = slice_totals(rows, keys, adds)
     crossed = F.lit(False)
     for n in names:
         crossed = crossed | ((F.col(f"{n}_before") < threshold)
@@ -42,12 +74,12 @@ def defect_threshold(df: DataFrame, keys: Sequence[str] = ("boat_id",), threshol
     running = Window.partitionBy(*keys, SLICE).orderBy("ts", "seq").rowsBetween(Window.unboundedPreceding, 0)
     counted = rows.join(crossing, [*keys, SLICE]).select(
         *df.columns,
-        *[(F.col(f"{n}_before") + F.sum(_hits(d)).over(running)).alias(n) for n, d in names.items()])
+        *[(F.col(f"{n}_before") + F.sum(adds[n]).over(running)).alias(n) for n in names])
     # A double hit may step over the threshold; either step landing on it counts.
     fired = F.lit(False)
-    for n, d in names.items():
-        fired = fired | ((F.col(n) >= threshold) & (F.col(n) - _hits(d) < threshold))
-    return counted.where(fired)
+    for n in names:
+        fired = fired | ((F.col(n) >= threshold) & (F.col(n) - adds[n] < threshold))
+    return counted.where(fired if CARRIED not in df.columns else fired & F.col(CARRIED).isNull())
 
 
 def defect_window_counts(df: DataFrame, seconds: int = 60, keys: Sequence[str] = ("boat_id",)) -> DataFrame:

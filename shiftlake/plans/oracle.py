@@ -152,7 +152,7 @@ FROM closed
 SQL["step_intervals_lookup"] = f"""
 WITH {RUNS},
 dims AS (SELECT {device('c_custkey')} AS eqpid, {tube('c_custkey')} AS tubeid, CAST(c_nationkey AS BIGINT) * 7200 AS st,
-           CAST(c_nationkey AS BIGINT) * 3600 + c_custkey % 100 AS setst FROM customer WHERE c_custkey % 3 > 0),
+           CAST(c_nationkey AS BIGINT) * 3600 + c_custkey % 100 AS setst FROM customer),
 dim AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY eqpid, tubeid ORDER BY st DESC, setst DESC) AS n FROM dims)
         WHERE n = 1),
 j AS (SELECT c.*, d.st, d.setst, CAST(epoch(close_ts) - epoch(ts) AS BIGINT) AS ct
@@ -205,18 +205,17 @@ FROM r GROUP BY row_key
 
 # Benches, furnaces, boats ----------------------------------------------------
 
-# The streaming forms have seen everything up to two minutes before the last row.
-MARK = "(SELECT max(ts) - INTERVAL 2 MINUTE FROM {source})"
-SEEN_RUNS = RUNS.replace("AS fresh FROM v", f"AS fresh FROM (SELECT * FROM v WHERE ts <= {MARK.format(source='v')})")
+# Runs still open at the end are cut up to the last row.
+MARK = "(SELECT max(ts) FROM {source})"
 SQL["stream_step_intervals"] = f"""
-WITH {SEEN_RUNS}
+WITH {RUNS}
 SELECT eqpid, tubeid, step, close_step AS step_name, {_data_type} AS data_type, {fmt('ts')} AS put_time,
   {fmt('close_ts')} AS end_time, CAST(epoch(close_ts) - epoch(ts) AS BIGINT) AS ct, runcount,
   close_count AS run_count_next, {row_key(f"(eqpid || '|' || {fmt('ts')})")} || '|' || tubeid AS row_key
 FROM closed
 """
 SQL["stream_step_intervals_by_shift"] = f"""
-WITH {SEEN_RUNS},
+WITH {RUNS},
 lim AS (SELECT {MARK.format(source='v')} AS mark),
 span AS (SELECT h.*, coalesce(close_ts, mark) AS until, {shift_start('ts', 'site')} AS first_shift FROM heads h, lim),
 parts AS (SELECT eqpid, tubeid, run, site, eqp_type, step, close_ts, close_step, until,
@@ -228,7 +227,8 @@ member AS (SELECT eqpid, tubeid, run, ts, seq, runcount, {shift_start('ts', 'sit
                         CASE WHEN eqp_type = 'DF' THEN ts END, seq) AS n,
              nth, eqp_type FROM r3),
 rep AS (SELECT * FROM member WHERE n = 1 AND (eqp_type <> 'DF' OR nth = 1)),
-filled AS (SELECT p.*, r.ts AS rep_ts, last_value(r.runcount IGNORE NULLS) OVER w AS runcount
+filled AS (SELECT p.*, r.ts AS rep_ts, last_value(r.ts IGNORE NULLS) OVER w AS orig_start,
+             last_value(r.runcount IGNORE NULLS) OVER w AS runcount
            FROM parts p LEFT JOIN rep r USING (eqpid, tubeid, run, s)
            WINDOW w AS (PARTITION BY p.eqpid, p.tubeid, p.run ORDER BY p.s ROWS UNBOUNDED PRECEDING)),
 piece AS (SELECT *, coalesce(rep_ts, s) AS start_ts, s + INTERVAL 12 HOUR AS b FROM filled),
@@ -237,7 +237,7 @@ done AS (SELECT *, CASE WHEN b >= close_ts THEN close_ts ELSE b END AS end_ts,
 SELECT eqpid, tubeid, step, step_name, CASE WHEN step_name = {NEXT} THEN 'Y' ELSE 'N' END AS data_type,
   {fmt('start_ts')} AS put_time, {fmt('end_ts')} AS end_time,
   CAST(epoch(end_ts) - epoch(start_ts) AS BIGINT) AS ct, runcount, right({shift('start_ts', 'site')}, 1) AS shift,
-  {row_key(f"(eqpid || '|' || {fmt('start_ts')} || '|' || tubeid)")} AS row_key
+  {row_key(f"(eqpid || '|' || {fmt('start_ts')} || '|' || tubeid)")} AS row_key, {fmt('orig_start')} AS orig_start
 FROM done WHERE end_ts <= until
 """
 
@@ -285,7 +285,7 @@ FROM c WHERE next_ts IS NOT NULL
 SQL["stream_cycle_pairs"] = f"""
 WITH {BASE},
 c AS (SELECT *, lead(ts) OVER (PARTITION BY eqpid, tubeid ORDER BY ts, seq) AS next_ts FROM f
-      WHERE k < 97 AND ts <= {MARK.format(source='f WHERE k < 97')})
+      WHERE k < 97)
 SELECT seq, eqpid, tubeid, puttime AS updatetime, {fmt('next_ts')} AS end_time,
   CAST(epoch(next_ts) - epoch(ts) AS BIGINT) AS ct, {_boat} AS boat_id
 FROM c WHERE next_ts IS NOT NULL
@@ -378,21 +378,13 @@ FROM y WHERE id IS NOT NULL GROUP BY host, id
 UNION ALL
 SELECT host, 'miss_begin', {fmt('ts')}, {fmt('ts')}, 1, line FROM y WHERE id IS NULL AND e
 """
-_log_mark = MARK.format(source="f WHERE k NOT IN (97, 98)")
-SQL["stream_bracket_merge"] = BRACKETS.replace("WHERE k NOT IN (97, 98)", f"WHERE k NOT IN (97, 98) AND ts <= {_log_mark}") + f"""
-SELECT host, CASE WHEN bool_or(e) THEN 'merged' ELSE 'miss_end' END AS kind, {fmt('min(ts)')} AS begin_time,
-  {fmt('max(ts)')} AS end_time, count(*) AS n_lines, string_agg(line, ' ' ORDER BY ts, seq) AS text
-FROM y WHERE id IS NOT NULL GROUP BY host, id
-HAVING bool_or(e) OR min(ts) + INTERVAL 3600 SECOND <= {_log_mark}
-UNION ALL
-SELECT host, 'miss_begin', {fmt('ts')}, {fmt('ts')}, 1, line FROM y WHERE id IS NULL AND e
-"""
+SQL["stream_bracket_merge"] = SQL["bracket_merge"]
 
 SQL["stream_dedup"] = f"WITH {BASE} SELECT DISTINCT eqpid, runcount FROM v"
 SQL["stream_lookup"] = f"""
 WITH {BASE},
 dims AS (SELECT {device('c_custkey')} AS eqpid, {tube('c_custkey')} AS tubeid, CAST(c_nationkey AS BIGINT) * 7200 AS st,
-           CAST(c_nationkey AS BIGINT) * 3600 + c_custkey % 100 AS setst FROM customer WHERE c_custkey % 3 > 0),
+           CAST(c_nationkey AS BIGINT) * 3600 + c_custkey % 100 AS setst FROM customer),
 dim AS (SELECT eqpid, tubeid, max(st) AS st FROM dims GROUP BY eqpid, tubeid),
 j AS (SELECT v.seq, v.eqpid, v.tubeid, CAST(k AS BIGINT) * 100 AS ct, d.st
       FROM v LEFT JOIN dim d ON v.eqpid = d.eqpid AND v.tubeid = d.tubeid)
@@ -446,7 +438,7 @@ t AS (SELECT *, {", ".join(f"CAST(sum(h{i}) OVER w AS BIGINT) AS {counter_name(d
 SELECT seq, boat_id, cell_q, col_q, put_time, {", ".join(counter_name(d) for d in DEFECTS)} FROM t
 WHERE {" OR ".join(f"({counter_name(d)} >= 10 AND {counter_name(d)} - h{i} < 10)" for i, d in enumerate(DEFECTS))}
 """
-SQL["stream_defect_counters"] = f"SELECT boat_id, seq, {', '.join(counter_name(d) for d in DEFECTS)} FROM ({SQL['defect_threshold']})"
+SQL["stream_defect_counters"] = SQL["defect_threshold"]
 SQL["defect_window_counts"] = f"""
 WITH {DEFECT}
 SELECT boat_id, {fmt("date_trunc('hour', ts)")} AS window_start, {fmt("date_trunc('hour', ts) + INTERVAL 1 HOUR")} AS window_end,

@@ -38,9 +38,10 @@ def to_table(stream: DataFrame, label: str, single_batch: bool = False) -> DataF
 def through_carry(stream: DataFrame, step: carry.Step, label: str, delay_seconds: int = 120) -> DataFrame:
     spark = stream.sparkSession
     root = fresh_dir(spark, label)
-    run = carry.run_ordered(stream, step, carry.parquet_sink(f"{root}/out"), f"{root}/carry",
-                            StreamOptions(f"{root}/checkpoint"), delay_seconds).start()
+    sink = carry.parquet_sink(f"{root}/out")
+    run = carry.run_ordered(stream, step, sink, f"{root}/carry", StreamOptions(f"{root}/checkpoint"), delay_seconds).start()
     run.awaitTermination()
+    carry.flush(spark, step, sink, f"{root}/carry")
     return spark.read.parquet(f"{root}/out").drop("batch")
 
 
@@ -55,7 +56,7 @@ def stream_step_intervals(spark, sf_dir):
 def stream_step_intervals_by_shift(spark, sf_dir):
     rows = jobs.step_feed(feeds.stepped_feed(event_stream(spark, sf_dir)), feeds.STEP_MAPPING, need_tube=True)
     out = through_carry(rows, carry.shift_interval_step(), "shift-intervals")
-    return jobs.shift_labels(out).select(*STEP_OUT, "shift", "row_key")
+    return jobs.shift_labels(out).select(*STEP_OUT, "shift", "row_key", format_second(F.col("orig_start")).alias("orig_start"))
 
 
 @query
@@ -119,8 +120,8 @@ def stream_lookup(spark, sf_dir):
 @query
 def stream_defect_counters(spark, sf_dir):
     rows = jobs.defect_feed(feeds.defect_lines(event_stream(spark, sf_dir)))
-    out = to_table(processors.count_defects(rows), "defect-counters", single_batch=True)
-    return out.select("boat_id", "seq", *[counter_name(d) for d in measurements.DEFECTS])
+    out = through_carry(rows, carry.defect_step(forget_seconds=10 ** 9), "defect-counters", delay_seconds=60)
+    return out.select("seq", "boat_id", "cell_q", "col_q", "put_time", *[counter_name(d) for d in measurements.DEFECTS])
 
 
 @query

@@ -6,10 +6,16 @@ for hot keys as in batch. What it cannot finish yet (one row per key, or the
 lines of open brackets) and the rows past the watermark are written to the
 carry folder under the batch id. A replayed batch finds the same carried rows
 and overwrites the same outputs.
+
+Rows older than the watermark cannot be settled any more; they are written
+below ``late`` of the carry folder. Rows far ahead of the clock would push the
+watermark past everything that follows; they are written below ``ahead`` and
+do not count. ``flush`` settles what is carried when the input has ended.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
@@ -17,15 +23,22 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from ..operators import brackets, intervals
+from ..operators import brackets, counters, intervals
 from ..operators.dedup import latest_per_key
 from ..sinks.files import ControlFiles
 from .options import StreamOptions
 
-# (settled rows, watermark) -> (finished results, rows to carry)
-Step = Callable[[DataFrame, Column], tuple[DataFrame, DataFrame]]
+# (settled rows, watermark, whether the input has ended) -> (finished results, rows to carry)
+Step = Callable[[DataFrame, Column, bool], tuple[DataFrame, DataFrame]]
 Sink = Callable[[DataFrame, int], None]
 
+# How far a time may lie ahead of the clock; plant clocks drift by minutes, not days.
+AHEAD_SECONDS = 86_400
+# Defect counts are forgotten after two hours.
+FORGET_SECONDS = 2 * 3600
+# First moment of a run that a shift switch has cut.
+ORIGIN = "_origin"
+
 # Only the batch before is needed for a replay; some more help to look into a failure.
 BATCHES_KEPT = 10
 
@@ -43,6 +56,9 @@ class Carry:
         return (self._spark.read.parquet(f"{self._folder}/rows/{earlier[-1]}"),
                 self._marks.read(earlier[-1])["watermark"])
 
+    def next_batch(self) -> int:
+        return max(self._marks.numbers(), default=-1) + 1
+
     def save(self, batch_id: int, rows: DataFrame, watermark: int) -> None:
         rows.write.mode("overwrite").parquet(f"{self._folder}/rows/{batch_id}")
         self._marks.write(batch_id, {"watermark": watermark}, overwrite=True)
@@ -51,30 +67,60 @@ class Carry:
             self._marks.remove_folder(f"{self._folder}/rows/{old}")
 
 
+def _set_aside(rows: DataFrame, folder: str, batch_id: int) -> None:
+    if not rows.isEmpty():
+        rows.write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
+
+
 def run_ordered(stream: DataFrame, step: Step, sink: Sink, carry_folder: str, options: StreamOptions,
-                delay_seconds: int) -> DataStreamWriter:
-    """Stream of rows with ``ts`` through ``step``; rows older than the watermark are dropped."""
+                delay_seconds: int, ahead_seconds: int = AHEAD_SECONDS,
+                clock: Callable[[], float] = time.time) -> DataStreamWriter:
+    """Stream of rows with ``ts`` through ``step``."""
     def each(batch: DataFrame, batch_id: int) -> None:
         carry = Carry(batch.sparkSession, carry_folder)
         held, mark = carry.load(batch_id)
-        fresh = batch if mark is None else batch.where(F.unix_micros("ts") > mark)
-        rows = fresh if held is None else held.unionByName(fresh)
-        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+        at = F.unix_micros("ts")
+        limit = int((clock() + ahead_seconds) * 1_000_000)
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            newest = rows.agg(F.max(F.unix_micros("ts"))).first()[0]
-            if newest is None:
+            _set_aside(batch.where(at > limit), f"{carry_folder}/ahead", batch_id)
+            fresh = batch.where(at <= limit)
+            if mark is not None:
+                _set_aside(fresh.where(at <= mark), f"{carry_folder}/late", batch_id)
+                fresh = fresh.where(at > mark)
+            newest = fresh.agg(F.max(at)).first()[0]
+            if newest is None and held is None:
                 return
-            mark = max(newest - delay_seconds * 1_000_000, mark if mark is not None else newest - delay_seconds * 1_000_000)
-            passed = F.unix_micros("ts") <= mark
-            done, keep = step(rows.where(passed), F.timestamp_micros(F.lit(mark)))
+            reached = [m for m in (mark, None if newest is None else newest - delay_seconds * 1_000_000) if m is not None]
+            mark = max(reached)
+            rows = fresh if held is None else held.unionByName(fresh, allowMissingColumns=True)
+            passed = at <= mark
+            done, keep = step(rows.where(passed), F.timestamp_micros(F.lit(mark)), False)
             sink(done, batch_id)
-            carry.save(batch_id, keep.unionByName(rows.where(~passed)), mark)
+            carry.save(batch_id, keep.unionByName(rows.where(~passed), allowMissingColumns=True), mark)
         finally:
-            rows.unpersist()
+            batch.unpersist()
 
     return options.apply(stream).foreachBatch(each)
 
 
+def flush(spark: SparkSession, step: Step, sink: Sink, carry_folder: str) -> None:
+    """Settle the carried rows of an input that has ended, as one more batch.
+
+    A second call finds nothing carried and writes nothing; rows that arrive
+    later are late.
+    """
+    carry = Carry(spark, carry_folder)
+    batch_id = carry.next_batch()
+    held, mark = carry.load(batch_id)
+    if held is None or held.isEmpty():
+        return
+    mark = max(mark, held.agg(F.max(F.unix_micros("ts"))).first()[0])
+    done, keep = step(held, F.timestamp_micros(F.lit(mark)), True)
+    sink(done, batch_id)
+    carry.save(batch_id, keep.limit(0), mark)
+
+
 def parquet_sink(folder: str) -> Sink:
     """One folder per batch, overwritten on replay."""
     def write(df: DataFrame, batch_id: int) -> None:
@@ -84,24 +130,49 @@ def parquet_sink(folder: str) -> Sink:
 
 
 def step_interval_step(keys: Sequence[str] = ("eqpid", "tubeid")) -> Step:
-    return lambda rows, mark: (intervals.step_intervals(rows, keys), intervals.open_runs(rows, keys))
+    return lambda rows, mark, ended: (intervals.step_intervals(rows, keys), intervals.open_runs(rows, keys))
 
 
 def shift_interval_step(keys: Sequence[str] = ("eqpid", "tubeid")) -> Step:
-    """Cuts are returned as soon as the watermark passes the shift switch."""
-    return lambda rows, mark: (intervals.step_intervals_by_shift(rows, keys, open_until=mark),
-                               intervals.open_runs(rows, keys, cut_until=mark))
+    """Cuts are returned as soon as the watermark passes the shift switch. A run that was cut is carried from the
+    switch on, with its first moment beside it."""
+    def step(rows: DataFrame, mark: Column, ended: bool) -> tuple[DataFrame, DataFrame]:
+        if ORIGIN not in rows.columns:
+            rows = rows.withColumn(ORIGIN, F.lit(None).cast("timestamp"))
+        done = intervals.step_intervals_by_shift(rows, keys, open_until=mark)
+        done = done.withColumn("orig_start", F.coalesce(ORIGIN, "orig_start")).drop(ORIGIN)
+        first = F.coalesce(ORIGIN, "_began")
+        kept = intervals.open_runs(rows.withColumn("_began", F.col("ts")), keys, cut_until=mark)
+        return done, kept.withColumn(ORIGIN, F.when(first < F.col("ts"), first)).drop("_began")
+
+    return step
 
 
 def record_interval_step(keys: Sequence[str], terminal: Column | None = None) -> Step:
-    return lambda rows, mark: (intervals.record_intervals(rows, keys, terminal), latest_per_key(rows, keys))
+    return lambda rows, mark, ended: (intervals.record_intervals(rows, keys, terminal), latest_per_key(rows, keys))
+
+
+def defect_step(keys: Sequence[str] = ("boat_id",), threshold: int = counters.THRESHOLD,
+                forget_seconds: int = FORGET_SECONDS) -> Step:
+    """Running defect counters: one row per key carries its counts and when each was last written.
+
+    If any counter of a key has not been written for ``forget_seconds`` when a
+    batch settles, all counters of the key start again.
+    """
+    def step(rows: DataFrame, mark: Column, ended: bool) -> tuple[DataFrame, DataFrame]:
+        if counters.CARRIED not in rows.columns:
+            rows = rows.withColumn(counters.CARRIED, F.lit(None).cast("array<struct<n:bigint,at:timestamp>>"))
+        done = counters.defect_threshold(rows, keys, threshold).drop(counters.CARRIED)
+        return done, counters.carried_counts(rows, keys, mark, forget_seconds)
+
+    return step
 
 
 def bracket_step(keys: Sequence[str] = ("host", "path"), timeout: int = brackets.TIMEOUT_SECONDS) -> Step:
     """Brackets closed or timed out by the watermark; the lines of the others are carried."""
-    def step(rows: DataFrame, mark: Column) -> tuple[DataFrame, DataFrame]:
+    def step(rows: DataFrame, mark: Column, ended: bool) -> tuple[DataFrame, DataFrame]:
         found = brackets.bracket_lines(rows, keys, timeout=timeout)
-        still_open = (F.col("kind") == "miss_end") & (F.unix_timestamp("begin_ts") + timeout > F.unix_timestamp(mark))
+        still_open = F.lit(not ended) & (F.col("kind") == "miss_end") & (F.unix_timestamp("begin_ts") + timeout > F.unix_timestamp(mark))
         kept = found.where(still_open).select(*keys, F.explode("lines").alias("_l")).select(
             *keys, F.timestamp_seconds("_l.sec").alias("ts"), F.col("_l.seq").alias("seq"), F.col("_l.line").alias("line"))
         return brackets.as_texts(found.where(~still_open)), kept.select(*rows.columns)

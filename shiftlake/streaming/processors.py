@@ -1,4 +1,4 @@
-"""Keyed state processors: counters with a time to live, sequences with timers."""
+"""Keyed state processor: sequences with timers."""
 
 from __future__ import annotations
 
@@ -11,66 +11,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from ..operators.counters import THRESHOLD, counter_name
-from ..operators.measurements import DEFECTS
 from ..operators.sequences import Pattern
 
 # Send the processors with the query, so that the package need not be installed on the workers.
 cloudpickle.register_pickle_by_value(sys.modules[__name__.split(".")[0]])
 
-STATE_TTL_MS = 2 * 3600 * 1000
-
-COUNTER_OUT = ("boat_id string, seq bigint, ts timestamp, cell_q string, col_q string, "
-               + ", ".join(f"{counter_name(d)} bigint" for d in DEFECTS))
-
-
-class DefectCounter(StatefulProcessor):
-    """Counts defects per key as they arrive, each Arrow chunk in time order; a category not written for the
-    time to live makes all counters start again."""
-
-    def __init__(self, threshold: int = THRESHOLD, ttl_ms: int = STATE_TTL_MS):
-        self._threshold, self._ttl_ms = threshold, ttl_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._counts = handle.getMapState("counts", "defect string", "n bigint", self._ttl_ms)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        counts = {k[0]: v[0] for k, v in self._counts.iterator()} if self._counts.exists() else {}
-        touched = set()
-        if len(counts) != len(DEFECTS):
-            counts = dict.fromkeys(DEFECTS, 0)
-            touched.update(DEFECTS)
-        for chunk in rows:
-            fired = []
-            for row in chunk.sort_values(["ts", "seq"]).itertuples(index=False):
-                hit = False
-                for name in (row.cell_q.lower(), row.col_q.lower()):
-                    if name in counts:
-                        counts[name] += 1
-                        touched.add(name)
-                        hit = hit or counts[name] == self._threshold
-                if hit:
-                    fired.append((key[0], row.seq, row.ts, row.cell_q, row.col_q, *[counts[d] for d in DEFECTS]))
-            if fired:
-                yield pd.DataFrame(fired, columns=["boat_id", "seq", "ts", "cell_q", "col_q",
-                                                   *[counter_name(d) for d in DEFECTS]])
-        for name in touched:
-            self._counts.updateValue((name,), (counts[name],))
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        return iter(())
-
-    def close(self) -> None:
-        pass
-
-
-def count_defects(stream: DataFrame, threshold: int = THRESHOLD, ttl_ms: int = STATE_TTL_MS) -> DataFrame:
-    """Stream of ``boat_id, seq, ts, cell_q, col_q`` -> records that reach the threshold."""
-    rows = stream.select("boat_id", "seq", "ts", "cell_q", "col_q")
-    return rows.groupBy("boat_id").transformWithStateInPandas(
-        DefectCounter(threshold, ttl_ms), COUNTER_OUT, "append", "ProcessingTime")
-
-
 SEQUENCE_OUT = "key string, seq bigint, outcome string, matched int, last_seq bigint"
 
 

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from shiftlake.operators import brackets, heartbeat, intervals, sequences
+from shiftlake.operators import brackets, counters, heartbeat, intervals, measurements, sequences
 from shiftlake.operators.steps import STEPS
 from shiftlake.sources.topics import stream_table
 from shiftlake.streaming import builtin, carry, processors
@@ -35,12 +35,10 @@ def steps(spark):
                                        "eqp_type string, runcount string, step string")
 
 
-def run_carry(spark, stream, step, root, delay=120):
-    def start():
-        return carry.run_ordered(stream, step, carry.parquet_sink(f"{root}/out"), f"{root}/carry",
-                                 StreamOptions(f"{root}/checkpoint"), delay).start()
-
-    start().awaitTermination()
+def run_carry(spark, stream, step, root, delay=120, **more):
+    sink = carry.parquet_sink(f"{root}/out")
+    carry.run_ordered(stream, step, sink, f"{root}/carry", StreamOptions(f"{root}/checkpoint"), delay, **more).start().awaitTermination()
+    carry.flush(spark, step, sink, f"{root}/carry")
     return spark.read.parquet(f"{root}/out")
 
 
@@ -53,11 +51,70 @@ def test_intervals(spark, steps, tmp_path, by_shift):
     stream = in_files(spark, steps, tmp_path / "in", 4)
     step = carry.shift_interval_step() if by_shift else carry.step_interval_step()
     got = run_carry(spark, stream, step, tmp_path)
-    mark = steps.agg(F.max("ts")).first()[0] - dt.timedelta(minutes=2)
-    seen = steps.where(F.col("ts") <= mark)
-    want = intervals.step_intervals_by_shift(seen, open_until=F.lit(mark)) if by_shift else intervals.step_intervals(seen)
-    columns = ["eqpid", "ts", "end_ts", "step", "step_name", "data_type", "ct", "runcount"]
+    mark = steps.agg(F.max("ts")).first()[0]
+    want = intervals.step_intervals_by_shift(steps, open_until=F.lit(mark)) if by_shift else intervals.step_intervals(steps)
+    columns = ["eqpid", "ts", "end_ts", "step", "step_name", "data_type", "ct", "runcount"] + ["orig_start"] * by_shift
     assert rows_of(got, *columns) == rows_of(want, *columns)
+    again = carry.parquet_sink(f"{tmp_path}/out")
+    carry.flush(spark, step, again, f"{tmp_path}/carry")
+    assert rows_of(spark.read.parquet(f"{tmp_path}/out"), *columns) == rows_of(want, *columns)
+
+
+class Now:
+    """Runs the batch function directly, as a restart would."""
+
+    def apply(self, df):
+        return self
+
+    def foreachBatch(self, fn):
+        return fn
+
+
+def test_late_and_future_rows_are_set_aside(spark, steps, tmp_path):
+    folder = f"{tmp_path}/carry"
+    each = carry.run_ordered(steps, carry.step_interval_step(), carry.parquet_sink(f"{tmp_path}/out"), folder, Now(), 0,
+                             clock=lambda: (BASE + dt.timedelta(days=30)).replace(tzinfo=dt.timezone.utc).timestamp())
+    rows = steps.where("seq between 100 and 150")
+    each(rows.unionByName(steps.where("seq = 399").withColumn("ts", F.lit(BASE + dt.timedelta(days=400)))), 0)
+    each(steps.where("seq < 10 or seq between 151 and 200"), 1)
+    assert {r.seq for r in spark.read.parquet(f"{folder}/ahead").collect()} == {399}
+    assert {r.seq for r in spark.read.parquet(f"{folder}/late").collect()} == set(range(10))
+    assert spark.read.parquet(f"{tmp_path}/out").where("seq > 150").count() > 0
+
+
+@pytest.fixture(scope="module")
+def defects(spark):
+    rng = random.Random(8)
+    names = ["Ok", *measurements.DEFECTS[:3]]
+    rows = [(f"B{rng.randrange(2)}", BASE + dt.timedelta(seconds=7 * k), k, rng.choice(names), rng.choice(names)) for k in range(400)]
+    return spark.createDataFrame(rows, "boat_id string, ts timestamp, seq bigint, cell_q string, col_q string")
+
+
+@pytest.mark.parametrize("parts,reverse", [(1, True), (4, False), (7, False)])
+def test_defect_counters_do_not_depend_on_batches_or_order(spark, defects, tmp_path, parts, reverse):
+    stream = in_files(spark, defects, tmp_path / "in", parts)
+    if reverse:
+        defects.orderBy(F.desc("ts")).coalesce(1).write.parquet(str(tmp_path / "turned"))
+        stream = stream_table(spark, str(tmp_path / "turned"), max_files=1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 20)
+    try:
+        got = run_carry(spark, stream, carry.defect_step(forget_seconds=10 ** 6), tmp_path, delay=30)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = counters.defect_threshold(defects)
+    columns = ["boat_id", "seq", "cell_q", "col_q", *[counters.counter_name(d) for d in measurements.DEFECTS]]
+    assert rows_of(want, *columns) and rows_of(got, *columns) == rows_of(want, *columns)
+
+
+def test_defect_counters_are_forgotten(spark, defects, tmp_path):
+    late = defects.withColumn("ts", F.col("ts") + F.expr("INTERVAL 5 HOURS")).withColumn("seq", F.col("seq") + 1000)
+    each = carry.run_ordered(defects, carry.defect_step(), carry.parquet_sink(f"{tmp_path}/out"), f"{tmp_path}/carry", Now(), 0)
+    pause = late.where("seq = 1000").withColumn("boat_id", F.lit("B9"))
+    for n, batch in enumerate((defects, pause, late.where("seq > 1000"))):
+        each(batch, n)
+    got = spark.read.parquet(f"{tmp_path}/out").where("seq >= 1000").drop("batch")
+    want = counters.defect_threshold(late.where("seq > 1000"))
+    assert rows_of(got, "boat_id", "seq") == rows_of(want, "boat_id", "seq")
 
 
 def test_replayed_batch_gives_the_same(spark, steps, tmp_path):
@@ -65,15 +122,6 @@ def test_replayed_batch_gives_the_same(spark, steps, tmp_path):
     sink, folder = carry.parquet_sink(f"{tmp_path}/out"), f"{tmp_path}/carry"
     seen = []
 
-    class Now:
-        """Runs the batch function directly, as a restart would."""
-
-        def apply(self, df):
-            return self
-
-        def foreachBatch(self, fn):
-            return fn
-
     each = carry.run_ordered(steps, carry.step_interval_step(), sink, folder, Now(), 120)
     each(half[0], 0)
     for _ in range(2):
@@ -90,9 +138,7 @@ def test_brackets(spark, tmp_path):
         rows.append((rng.choice("ab"), "p", BASE + dt.timedelta(seconds=at), seq, f"{rng.choice(texts)} {seq}"))
     df = spark.createDataFrame(rows, "host string, path string, ts timestamp, seq bigint, line string")
     got = run_carry(spark, in_files(spark, df, tmp_path / "in", 3), carry.bracket_step(), tmp_path, delay=0)
-    last = max(r[2] for r in rows)
-    want = brackets.merge_brackets(df).where(
-        (F.col("kind") != "miss_end") | (F.unix_timestamp("begin_ts") + 120 <= F.unix_timestamp(F.lit(last))))
+    want = brackets.merge_brackets(df)
     assert rows_of(got, "host", "kind", "text") == rows_of(want, "host", "kind", "text")
 
 
