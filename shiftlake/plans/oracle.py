@@ -203,6 +203,29 @@ SELECT row_key, min({day_date('ts')}) AS day_date, min(eqpid) AS eqpid,
 FROM r GROUP BY row_key
 """
 
+LOADED = f"""
+{BASE},
+r AS (SELECT *, {row_key("(eqpid || '|' || puttime || '|' || tubeid)")} AS row_key FROM v)
+"""
+
+
+def loaded(order: str, more: str = "") -> str:
+    """The loaded table: the last value of every column by ``order``."""
+    return f"""row_key, min({day_date('ts')}) AS day_date, min(eqpid) AS eqpid,
+  arg_max(CASE WHEN k % 10 = 0 THEN '9' ELSE {factory('site')} END, {order}) AS factory, arg_max(runcount, {order}) AS runcount,
+  arg_max('even', {order}) FILTER (WHERE k % 2 = 0) AS note, arg_max(text1, {order}) AS text1{more}"""
+
+
+SQL["keyed_put"] = f"WITH {LOADED} SELECT {loaded('seq % 2 * 1000000000000 + seq')} FROM r GROUP BY row_key"
+SQL["keyed_delete"] = f"""
+WITH {LOADED} SELECT {loaded('seq')} FROM r WHERE row_key NOT IN (SELECT row_key FROM r WHERE k % 5 = 0) GROUP BY row_key
+"""
+_target = "CASE event_type WHEN 'view' THEN 't_view' WHEN 'click' THEN 't_click' ELSE 't_sale' END"
+SQL["keyed_routed"] = f"""
+WITH {LOADED} SELECT {loaded('seq', f", {_target} AS target")} FROM r
+WHERE event_type IN ('view', 'click', 'purchase') GROUP BY row_key, {_target}
+"""
+
 # Benches, furnaces, boats ----------------------------------------------------
 
 # Runs still open at the end are cut up to the last row.

@@ -3,6 +3,8 @@ returns what it wrote."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,14 +13,14 @@ from ..functions.text import format_second
 from ..operators import brackets, heartbeat, lookup, measurements, wide
 from ..operators.counters import counter_name
 from ..session import fresh_dir
-from ..sinks.keyed import KeyedTable, columns_of_map
+from ..sinks.keyed import DELETE, KeyedTable, columns_of_map, put_records, put_routed
 from ..sources.tables import Refreshing
 from ..sources.topics import map_batches, stream_table
 from ..streaming import builtin, carry, processors
 from ..streaming.options import StreamOptions
 from ..streaming.runner import run_job
 from . import feeds, jobs
-from .queries import BUY, LOADER_MAPPING, STEP_OUT, query
+from .queries import BUY, LOADER_MAPPING, STEP_OUT, TABLES, events_of, query
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,12 +68,52 @@ def stream_keyed_load(spark, sf_dir):
 
     def job(batch: DataFrame) -> DataFrame:
         rows = jobs.load_records(feeds.loader_feed(batch), LOADER_MAPPING)
-        return columns_of_map(rows.withColumn("row_key", field("row_key")).drop("event_type"))
+        return columns_of_map(rows.withColumn("row_key", field("row_key")).drop("event_type"), names=["day_date", *LOADED])
 
     run = run_job(event_stream(spark, sf_dir), job, {"out": lambda df, n: table.put(df, ["ts", "seq"], n)},
                   StreamOptions(f"{root}/checkpoint")).start()
     run.awaitTermination()
-    return table.read(["row_key", "day_date", "eqpid", "factory", "runcount", "note", "text1"])
+    return table.read(["row_key", "day_date", *LOADED])
+
+
+# Columns of the loaded table: those that the query shows.
+LOADED = ["eqpid", "factory", "runcount", "note", "text1"]
+
+
+def _loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = jobs.load_records(feeds.loader_feed(events_of(spark, sf_dir)), LOADER_MAPPING)
+    return columns_of_map(rows.withColumn("row_key", field("row_key")).drop("event_type"), names=["day_date", *LOADED])
+
+
+@query
+def keyed_put(spark, sf_dir):
+    """Two batches into one table, the first of them replayed."""
+    rows = _loaded(spark, sf_dir)
+    table = KeyedTable(spark, f"{fresh_dir(spark, 'keyed-put')}/table", partition="day_date")
+    for batch_id in (0, 1, 0):
+        put_records(table, rows.where(F.col("seq") % 2 == batch_id), order=["ts", "seq"], batch_id=batch_id)
+    return table.read(["row_key", "day_date", *LOADED])
+
+
+@query
+def keyed_delete(spark, sf_dir):
+    rows = _loaded(spark, sf_dir)
+    table = KeyedTable(spark, f"{fresh_dir(spark, 'keyed-delete')}/table", partition="day_date")
+    put_records(table, rows, order=["ts", "seq"])
+    put_records(table, rows.where(F.col("runcount").cast("int") % 5 == 0), operation=DELETE)
+    return table.read(["row_key", "day_date", *LOADED])
+
+
+@query
+def keyed_routed(spark, sf_dir):
+    feed = feeds.loader_feed(events_of(spark, sf_dir)).withColumnRenamed("event_type", "topic")
+    rows = jobs.load_routed(feed, TABLES, LOADER_MAPPING)
+    root = fresh_dir(spark, "keyed-routed")
+    targets = sorted({t for t in TABLES.values() if t.strip()})
+    put_routed(spark, root, rows, targets, names=["day_date", *LOADED])
+    read = [KeyedTable(spark, f"{root}/{t}", partition="day_date").read(["row_key", "day_date", *LOADED]).withColumn("target", F.lit(t))
+            for t in targets]
+    return reduce(DataFrame.unionByName, read)
 
 
 @query

@@ -109,8 +109,8 @@ class KeyedTable:
 
 def columns_of_map(df: DataFrame, record: str = "rec", names: Sequence[str] | None = None,
                    drop: Sequence[str] = ("row_key",)) -> DataFrame:
-    """Map entries as text columns. The names are the distinct keys of the
-    batch (the columns of the table), unless given."""
+    """Map entries as text columns ``names``, the declared columns of the table.
+    Without them one more pass collects the distinct keys of the batch."""
     if names is None:
         keys = df.select(F.explode(F.map_keys(record)).alias("n")).distinct()
         names = sorted(r.n for r in keys.collect())
@@ -132,12 +132,12 @@ def put_records(table: KeyedTable, records: DataFrame, convert: Callable[[DataFr
 
 def put_routed(spark: SparkSession, root: str, rows: DataFrame, targets: Sequence[str], record: str = "rec",
                order: Sequence[str] = ("ts", "seq"), batch_id: int | None = None,
-               partition: str | None = "day_date") -> None:
-    """Routed rows into one table per target; ``targets`` comes from the table mapping."""
+               partition: str | None = "day_date", names: Sequence[str] | None = None) -> None:
+    """Routed rows into one table per target; ``targets`` comes from the table mapping, ``names`` are the tables' columns."""
     rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         for target in sorted(set(targets)):
-            own = columns_of_map(rows.where(F.col("target") == target), record)
+            own = columns_of_map(rows.where(F.col("target") == target), record, names)
             own = own.drop("target", "family", "topic", "event_type")
             KeyedTable(spark, f"{root}/{target}", partition=partition).put(own, order, batch_id)
     finally:
