@@ -1,9 +1,9 @@
 """Toxicity of whole texts: a linear classifier on character n-grams scaled by naive Bayes log-count ratios.
 
-A text counts as the set of hashed n-grams of its words. Log-count ratios of
-toxic against other labelled texts scale each n-gram; logistic regression is
-fitted on the scaled n-grams; the product of weight and ratio is what scoring
-looks up, so a text costs one look-up per distinct word.
+A text is the hashed n-grams of its words with the logarithm of how often each
+occurs. Log-count ratios of toxic against other labelled texts scale each
+n-gram; logistic regression is fitted on the scaled n-grams; the product of
+weight and ratio is what scoring looks up, so a text costs one look-up per word.
 """
 
 from __future__ import annotations
@@ -36,8 +36,10 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(total + self.intercept, -500, 500))))
 
 
-def _words(text: str | None) -> set[str]:
-    return set((text or "").lower().split())
+def _counted(table: WordTable, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """(n-gram buckets of a text, log2 of one more than their counts)."""
+    grams, counts = np.unique(table.expand((text or "").lower().split()), return_counts=True)
+    return grams, np.log2(1 + counts)
 
 
 def gram_table(weights: np.ndarray | None = None) -> WordTable:
@@ -95,7 +97,7 @@ def _logistic(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, labels: np
     return w[:width], float(w[width])
 
 
-def fit(texts: DataFrame, alpha: float = 1.0, strength: float = 1.0, least_texts: int = 3, keep: int = 20_000) -> Model:
+def fit(texts: DataFrame, alpha: float = 1.0, strength: float = 1.0, least_texts: int = 3, keep: int = 30_000) -> Model:
     """Model of ``label`` (0 or 1) on ``text``; ``texts`` is a bounded sample.
 
     n-grams of fewer than ``least_texts`` texts have no say, and only the
@@ -105,12 +107,15 @@ def fit(texts: DataFrame, alpha: float = 1.0, strength: float = 1.0, least_texts
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = gram_table()
         for batch in batches:
-            found = [np.unique(table.expand(_words(t))).astype(np.int32) for t in batch.column("text").to_pylist()]
+            found = [_counted(table, t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").cast(pa.int64()), batch.column("label"), pa.array(found, pa.list_(pa.int32()))],
-                names=["doc_id", "label", "grams"])
+                [batch.column("doc_id").cast(pa.int64()), batch.column("label"),
+                 pa.array([g.astype(np.int32) for g, _ in found], pa.list_(pa.int32())),
+                 pa.array([v.astype(np.float32) for _, v in found], pa.list_(pa.float32()))],
+                names=["doc_id", "label", "grams", "counts"])
 
-    got = texts.select("doc_id", "label", "text").mapInArrow(featured, "doc_id long, label int, grams array<int>").toArrow()
+    got = texts.select("doc_id", "label", "text").mapInArrow(
+        featured, "doc_id long, label int, grams array<int>, counts array<float>").toArrow()
     got = got.sort_by("doc_id").combine_chunks()
     labels = np.array(got["label"]).astype(float)
     width = 1 << BITS
@@ -119,20 +124,21 @@ def fit(texts: DataFrame, alpha: float = 1.0, strength: float = 1.0, least_texts
         share = min(max(share, 1e-6), 1 - 1e-6)
         return Model(np.zeros(width, np.float32), float(np.log(share / (1 - share))))
     sizes = np.array([len(g) for g in got["grams"]])
-    cols = np.array(got["grams"].combine_chunks().values) if got.num_rows else np.zeros(0, np.int32)
+    cols = np.array(got["grams"].combine_chunks().values)
+    counts = np.array(got["counts"].combine_chunks().values)
     rows = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
     texts_with = np.bincount(cols, minlength=width)
-    toxic = np.bincount(cols, weights=labels[rows], minlength=width) + alpha
-    other = texts_with - (toxic - alpha) + alpha
-    ratio = np.log((toxic / toxic.sum()) / (other / other.sum()))
+    all_counts = np.bincount(cols, weights=counts, minlength=width)
+    toxic = np.bincount(cols, weights=counts * labels[rows], minlength=width)
+    ratio = np.log((toxic + alpha) / (toxic + alpha).sum()) - np.log((all_counts - toxic + alpha) / (all_counts - toxic + alpha).sum())
     ratio[texts_with < least_texts] = 0
     used = ratio[cols] != 0
-    rows, cols = rows[used], cols[used]
-    weights, intercept = _logistic(rows, cols, ratio[cols], labels, width, strength)
+    rows, cols, counts = rows[used], cols[used], counts[used]
+    weights, intercept = _logistic(rows, cols, ratio[cols] * counts, labels, width, strength)
     weights *= ratio
     # What the lighter n-grams add up to on average goes into the intercept.
-    light = np.argsort(-np.abs(weights) * np.sqrt(np.maximum(texts_with, 1)))[keep:]
-    intercept += float((weights[light] * texts_with[light]).sum() / len(labels))
+    light = np.argsort(-np.abs(weights) * np.sqrt(np.maximum(all_counts, 1)))[keep:]
+    intercept += float((weights[light] * all_counts[light]).sum() / len(labels))
     weights[light] = 0
     return Model(weights.astype(np.float32), intercept)
 
@@ -142,7 +148,10 @@ def score(text: Column, model: Model) -> Column:
     def scores(series: Iterator[pd.Series]) -> Iterator[pd.Series]:
         table, weights = gram_table(model.weights), model.weights
         for texts in series:
-            totals = (float(weights[np.unique(table.expand(_words(t)))].sum()) for t in texts)
+            totals = []
+            for text in texts:
+                grams, counts = _counted(table, text)
+                totals.append(float(weights[grams] @ counts))
             yield pd.Series([model.probability(t) for t in totals], dtype="float64")
 
     return F.pandas_udf(scores, "double")(text)
