@@ -8,7 +8,7 @@ weight and ratio is what scoring looks up, so a text costs one look-up per word.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -55,15 +55,28 @@ def gram_table(weights: np.ndarray | None = None) -> WordTable:
     return WordTable(expand)
 
 
+#: Entries that are worked on at once, which bounds the memory of a fit beside its sample.
+ENTRIES_AT_ONCE = 1 << 20
+
+
+def _summed(into: np.ndarray, weights: Callable[[slice], np.ndarray], width: int) -> np.ndarray:
+    """Sum of ``weights`` by the buckets ``into``, block by block."""
+    out = np.zeros(width)
+    for at in range(0, len(into), ENTRIES_AT_ONCE):
+        part = slice(at, at + ENTRIES_AT_ONCE)
+        out += np.bincount(into[part], weights=weights(part), minlength=width)
+    return out
+
+
 def _logistic(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, labels: np.ndarray, width: int,
               strength: float, rounds: int = 60) -> tuple[np.ndarray, float]:
     """Ridge logistic regression on sparse rows, by limited-memory BFGS."""
     n = len(labels)
 
     def at(w):
-        z = np.bincount(rows, weights=w[cols] * values, minlength=n) + w[width]
+        z = _summed(rows, lambda p: w[cols[p]] * values[p], n) + w[width]
         slope = 1 / (1 + np.exp(-np.clip(z, -500, 500))) - labels
-        gradient = np.append(np.bincount(cols, weights=slope[rows] * values, minlength=width) + strength * w[:width], slope.sum())
+        gradient = np.append(_summed(cols, lambda p: slope[rows[p]] * values[p], width) + strength * w[:width], slope.sum())
         return np.logaddexp(0, z).sum() - labels @ z + strength / 2 * (w[:width] @ w[:width]), gradient
 
     w = np.zeros(width + 1)
@@ -127,14 +140,15 @@ def fit(texts: DataFrame, alpha: float = 1.0, strength: float = 1.0, least_texts
     cols = np.array(got["grams"].combine_chunks().values)
     counts = np.array(got["counts"].combine_chunks().values)
     rows = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+    del got
     texts_with = np.bincount(cols, minlength=width)
-    all_counts = np.bincount(cols, weights=counts, minlength=width)
-    toxic = np.bincount(cols, weights=counts * labels[rows], minlength=width)
+    all_counts = _summed(cols, lambda p: counts[p], width)
+    toxic = _summed(cols, lambda p: counts[p] * labels[rows[p]], width)
     ratio = np.log((toxic + alpha) / (toxic + alpha).sum()) - np.log((all_counts - toxic + alpha) / (all_counts - toxic + alpha).sum())
     ratio[texts_with < least_texts] = 0
     used = ratio[cols] != 0
     rows, cols, counts = rows[used], cols[used], counts[used]
-    weights, intercept = _logistic(rows, cols, ratio[cols] * counts, labels, width, strength)
+    weights, intercept = _logistic(rows, cols, ratio.astype(np.float32)[cols] * counts, labels, width, strength)
     weights *= ratio
     # What the lighter n-grams add up to on average goes into the intercept.
     light = np.argsort(-np.abs(weights) * np.sqrt(np.maximum(all_counts, 1)))[keep:]
