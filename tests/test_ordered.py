@@ -245,3 +245,36 @@ def test_pattern_as_data(spark, tmp_path):
     (tmp_path / "p.json").write_text("\n".join(map(json.dumps, lines)))
     assert sequences.load_pattern(spark, str(tmp_path / "p.json"), "p") == sequences.Pattern(
         ("order", "pay"), ("behave = 'order'", "behave = 'pay'"), 3)
+
+
+def test_spacing_of_a_key_that_is_never_silent(spark):
+    from shiftlake.operators.spacing import spaced_starts
+
+    weeks = 3 * 7 * 86400
+    every = spark.range(0, weeks, 1, 4).select(F.lit("hot").alias("k"), F.lit(None).cast("string").alias("n"), F.col("id").alias("sec"))
+    got = sorted(r.sec for r in spaced_starts(every, ["k", "n"], "sec", 7200).collect())
+    assert got == list(range(0, weeks, 7200))
+
+
+def test_spacing_against_brute_force(spark):
+    import random
+
+    from shiftlake.operators.spacing import spaced_starts
+
+    rng = random.Random(5)
+    rows = sorted({(rng.choice("abc"), rng.randrange(400)) for _ in range(300)})
+    resets = {r for r in rows if rng.random() < 0.05}
+    df = spark.createDataFrame([(k, s, (k, s) in resets) for k, s in rows], "k string, sec bigint, again boolean")
+    for strict in (False, True):
+        want, last = [], {}
+        for k, s in rows:
+            reach = 21 if strict else 20
+            if k not in last or (k, s) in resets or s - last[k] >= reach:
+                want.append((k, s))
+                last[k] = s
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 17)
+        try:
+            got = sorted((r.k, r.sec) for r in spaced_starts(df, ["k"], "sec", 20, strict, F.col("again")).collect())
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        assert got == want
