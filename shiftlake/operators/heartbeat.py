@@ -24,6 +24,10 @@ def parse_heartbeats(df: DataFrame, value: str = "value") -> DataFrame:
     return rows.where("ts is not null").drop(value, "_d")
 
 
+# Windows per device when the messages set the bounds: over two years of hours.
+MOST_WINDOWS = 20_000
+
+
 def window_of(ts: Column, seconds: int) -> Column:
     """Tumbling window aligned to the epoch; the plant clock is ahead of it."""
     return F.window(ts, f"{seconds} seconds", startTime=f"{cal.PLANT_UTC_OFFSET % seconds} seconds")
@@ -73,18 +77,22 @@ def alarms(status: DataFrame, created: Column | None = None) -> DataFrame:
 
 
 def silence_alarms(beats: DataFrame, devices: DataFrame, seconds: int, start: Column | None = None,
-                   end: Column | None = None, created: Column | None = None) -> DataFrame:
+                   end: Column | None = None, created: Column | None = None, most_windows: int = MOST_WINDOWS) -> DataFrame:
     """Batch form: every listed device x window, full outer with the messages;
     real messages of a device that is not listed stay in.
 
     Without bounds the windows cover the time between the first and the last
-    message. Messages are reduced to windows first; the bounds and the result
+    message, but at most the ``most_windows`` before the last: one device whose
+    clock stands at 1970 must not make millions of windows for every device.
+    Messages are reduced to windows first; the bounds and the result
     both read that reduced shuffle.
     """
     real = window_status(beats.select("eqp_id", "ts", F.lit(1).alias("ok")), seconds)
     heard = real.where("cnt > 0")
-    start = heard.agg(F.min("w.start")).scalar() if start is None else start
     end = heard.agg(F.max("w.start")).scalar() if end is None else end
+    if start is None:
+        earliest = F.timestamp_seconds(F.unix_timestamp(end) - most_windows * seconds)
+        start = F.greatest(heard.agg(F.min("w.start")).scalar(), earliest)
     expected = expected_beats(devices, start, end, seconds).select(
         "eqp_id", F.struct(F.col("ts").alias("start"),
                            F.timestamp_seconds(F.unix_timestamp("ts") + seconds).alias("end")).alias("w"),

@@ -403,7 +403,7 @@ SELECT host, 'miss_begin', {fmt('ts')}, {fmt('ts')}, 1, line FROM y WHERE id IS
 """
 SQL["stream_bracket_merge"] = SQL["bracket_merge"]
 
-SQL["stream_dedup"] = f"WITH {BASE} SELECT DISTINCT eqpid, runcount FROM v"
+SQL["stream_dedup"] = SQL["dedup_ttl"]
 SQL["stream_lookup"] = f"""
 WITH {BASE},
 dims AS (SELECT {device('c_custkey')} AS eqpid, {tube('c_custkey')} AS tubeid, CAST(c_nationkey AS BIGINT) * 7200 AS st,

@@ -143,7 +143,8 @@ def stream_window_alarm(spark, sf_dir):
 @query
 def stream_dedup(spark, sf_dir):
     rows = jobs.step_feed(feeds.stepped_feed(event_stream(spark, sf_dir)), feeds.STEP_MAPPING)
-    return to_table(builtin.first_per_key(rows, ["eqpid", "runcount"]), "dedup").select("eqpid", "runcount")
+    out = through_carry(rows, carry.dedup_step(["eqpid", "tubeid"], 2 * 86400), "dedup")
+    return out.select("eqpid", "tubeid", "seq", format_second(F.col("ts")).alias("put_time"))
 
 
 @query

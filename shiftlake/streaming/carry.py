@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from ..operators import brackets, counters, intervals
+from ..operators import brackets, counters, dedup, intervals
 from ..operators.dedup import latest_per_key
 from ..sinks.files import ControlFiles
 from .options import StreamOptions
@@ -39,6 +39,9 @@ FORGET_SECONDS = 2 * 3600
 # First moment of a run that a shift switch has cut.
 ORIGIN = "_origin"
 
+# Marks the carried record of a key that has been returned.
+KEPT = "_kept"
+
 # Only the batch before is needed for a replay; some more help to look into a failure.
 BATCHES_KEPT = 10
 
@@ -168,6 +171,22 @@ def defect_step(keys: Sequence[str] = ("boat_id",), threshold: int = counters.TH
     return step
 
 
+def dedup_step(keys: Sequence[str], ttl_seconds: int = 7200) -> Step:
+    """First record per key in event time, and again once the kept one is ``ttl_seconds`` old.
+
+    The kept record of a key is carried until it is that old.
+    """
+    def step(rows: DataFrame, mark: Column, ended: bool) -> tuple[DataFrame, DataFrame]:
+        if KEPT not in rows.columns:
+            rows = rows.withColumn(KEPT, F.lit(None).cast("boolean"))
+        found = dedup.first_within_ttl(rows, keys, ttl_seconds)
+        young = F.unix_timestamp("ts") + ttl_seconds > F.unix_timestamp(mark)
+        kept = latest_per_key(found, keys).where(young).withColumn(KEPT, F.lit(True))
+        return found.where(F.col(KEPT).isNull()).drop(KEPT), kept.select(*rows.columns)
+
+    return step
+
+
 def bracket_step(keys: Sequence[str] = ("host", "path"), timeout: int = brackets.TIMEOUT_SECONDS) -> Step:
     """Brackets closed or timed out by the watermark; the lines of the others are carried."""
     def step(rows: DataFrame, mark: Column, ended: bool) -> tuple[DataFrame, DataFrame]:

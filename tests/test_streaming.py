@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from shiftlake.operators import brackets, counters, heartbeat, intervals, measurements, sequences
+from shiftlake.operators import brackets, counters, dedup, heartbeat, intervals, measurements, sequences
 from shiftlake.operators.steps import STEPS
 from shiftlake.sources.topics import stream_table
 from shiftlake.streaming import builtin, carry, processors
@@ -82,6 +82,13 @@ def test_late_and_future_rows_are_set_aside(spark, steps, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/out").where("seq > 150").count() > 0
 
 
+@pytest.mark.parametrize("parts", [1, 5])
+def test_dedup_does_not_depend_on_batches(spark, steps, tmp_path, parts):
+    got = run_carry(spark, in_files(spark, steps, tmp_path / "in", parts), carry.dedup_step(["eqpid"], 9000), tmp_path, delay=30)
+    want = dedup.first_within_ttl(steps, ["eqpid"], 9000)
+    assert want.count() > 20 and rows_of(got, "eqpid", "seq") == rows_of(want, "eqpid", "seq")
+
+
 @pytest.fixture(scope="module")
 def defects(spark):
     rng = random.Random(8)
