@@ -22,12 +22,15 @@ def _stars(edges: DataFrame, small: bool) -> DataFrame:
         links = joined.select("v", "m").unionByName(least.select(F.col("u").alias("v"), "m"))
     else:
         links = joined.where("v > u").select("v", "m")
-    return links.where("v <> m").select(F.col("m").alias("a"), F.col("v").alias("b")).distinct()
+    found = links.where("v <> m").select(F.col("m").alias("a"), F.col("v").alias("b"))
+    # Twice the same link does no harm between the two halves of a round.
+    return found.distinct() if small else found
 
 
 def roots(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(node, root) of every linked node; root is the smallest node reachable. ``links`` has a and b."""
-    edges = staged(links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
+    # Copies of a link go with the first round.
+    edges = staged(links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), "links")
 
     def print_of(df):
         return tuple(df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
