@@ -37,9 +37,12 @@ class Model:
 
 
 def _counted(table: WordTable, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """(n-gram buckets of a text, log2 of one more than their counts)."""
-    grams, counts = np.unique(table.expand((text or "").lower().split()), return_counts=True)
-    return grams, np.log2(1 + counts)
+    """(n-gram buckets of a text, their counts)."""
+    return np.unique(table.expand((text or "").lower().split()), return_counts=True)
+
+
+def _damped(counts: np.ndarray) -> np.ndarray:
+    return np.log2(1 + counts.astype(np.float32))
 
 
 def gram_table(weights: np.ndarray | None = None) -> WordTable:
@@ -123,24 +126,23 @@ def fit(texts: DataFrame, alpha: float = 1.0, strength: float = 1.0, least_texts
             found = [_counted(table, t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").cast(pa.int64()), batch.column("label"),
-                 pa.array([g.astype(np.int32) for g, _ in found], pa.list_(pa.int32())),
-                 pa.array([v.astype(np.float32) for _, v in found], pa.list_(pa.float32()))],
+                 pa.array([g.astype("<i4").tobytes() for g, _ in found], pa.binary()),
+                 pa.array([n.astype("<i4").tobytes() for _, n in found], pa.binary())],
                 names=["doc_id", "label", "grams", "counts"])
 
-    got = texts.select("doc_id", "label", "text").mapInArrow(
-        featured, "doc_id long, label int, grams array<int>, counts array<float>").toArrow()
-    got = got.sort_by("doc_id").combine_chunks()
-    labels = np.array(got["label"]).astype(float)
+    got = texts.select("doc_id", "label", "text").mapInArrow(featured, "doc_id long, label int, grams binary, counts binary").toArrow()
+    order = np.argsort(np.array(got["doc_id"]), kind="stable").tolist()
+    labels = np.array(got["label"]).astype(float)[order]
     width = 1 << BITS
     if len(labels) == 0 or labels.min() == labels.max():
         share = labels.mean() if len(labels) else 0.5
         share = min(max(share, 1e-6), 1 - 1e-6)
         return Model(np.zeros(width, np.float32), float(np.log(share / (1 - share))))
-    sizes = np.array([len(g) for g in got["grams"]])
-    cols = np.array(got["grams"].combine_chunks().values)
-    counts = np.array(got["counts"].combine_chunks().values)
-    rows = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+    sizes = np.array([len(got["grams"][k].as_buffer()) // 4 for k in order])
+    cols = np.frombuffer(b"".join(got["grams"][k].as_buffer() for k in order), "<i4")
+    counts = _damped(np.frombuffer(b"".join(got["counts"][k].as_buffer() for k in order), "<i4"))
     del got
+    rows = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
     texts_with = np.bincount(cols, minlength=width)
     all_counts = _summed(cols, lambda p: counts[p], width)
     toxic = _summed(cols, lambda p: counts[p] * labels[rows[p]], width)
@@ -165,7 +167,7 @@ def score(text: Column, model: Model) -> Column:
             totals = []
             for text in texts:
                 grams, counts = _counted(table, text)
-                totals.append(float(weights[grams] @ counts))
+                totals.append(float(weights[grams] @ _damped(counts)))
             yield pd.Series([model.probability(t) for t in totals], dtype="float64")
 
     return F.pandas_udf(scores, "double")(text)
