@@ -38,6 +38,7 @@ PREFIX_LETTERS = 24
 CHUNK_BYTES = 4 << 20
 GROUP_BYTES = 16 << 20
 NAME_BYTES = 256 << 20
+SALTS = 64
 LAST = (1 << 63) - 1
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -179,16 +180,14 @@ def send_names(window: int, buckets: int):
 def shared_names(table: pa.Table) -> pa.Table:
     """Names that two chunks hold, back to each of them."""
     parts = [np.frombuffer(b.as_py(), np.uint64) for b in table["names"]]
-    names, row = np.concatenate(parts), np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+    names = np.concatenate(parts)
     order = np.argsort(names, kind="stable")
     ranked = names[order]
     same = ranked[1:] == ranked[:-1]
     shared = np.zeros(len(names), bool)
     shared[order[1:][same]] = shared[order[:-1][same]] = True
-    rows = [(table["chunk"][k].as_py(), names[(row == k) & shared] if len(parts) < 64 else None) for k in range(len(parts))]
-    if len(parts) >= 64:
-        cuts = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
-        rows = [(table["chunk"][k].as_py(), names[a:b][shared[a:b]]) for k, (a, b) in enumerate(pairwise(cuts))]
+    cuts = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
+    rows = [(table["chunk"][k].as_py(), names[a:b][shared[a:b]]) for k, (a, b) in enumerate(pairwise(cuts))]
     rows = [(c, found.tobytes()) for c, found in rows if len(found)]
     return _shared_table(chunk=[c for c, _ in rows], names=[b for _, b in rows])
 
@@ -321,8 +320,12 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, chunk_bytes: int = CHU
     dealt = rows.select(number.alias("chunk"), "doc_id", "id", "key", "text")
 
     digests = staged(rows.select("id", "key", F.sha2(F.encode("text", "UTF-8"), 256).alias("digest")), "digests")
-    several = digests.groupBy("digest").agg(F.min("id").alias("least"), F.count("*").alias("n")).where("n > 1").drop("n")
-    copies = staged(digests.join(several, "digest").where("id > least").groupBy(number.alias("chunk")).agg(
+    # A text that a third of all rows share is reduced per salt first, and looked up per salt last.
+    digests = digests.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)))
+    shares = digests.groupBy("salt", "digest").agg(F.min("id").alias("least"), F.count("*").alias("n"))
+    several = shares.groupBy("digest").agg(F.min("least").alias("least"), F.sum("n").alias("n")).where("n > 1").drop("n")
+    lookup = shares.select("salt", "digest").join(several, "digest")
+    copies = staged(digests.join(lookup, ["salt", "digest"]).where("id > least").groupBy(number.alias("chunk")).agg(
         F.collect_list("id").alias("copy_ids"), F.collect_list("key").alias("copy_keys")), "copies")
     nothing = F.lit(None).cast("binary")
     side = copies.select("chunk", "copy_ids", "copy_keys", nothing.alias("names"), nothing.alias("values"), nothing.alias("least"))
