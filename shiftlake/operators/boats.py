@@ -56,13 +56,17 @@ def unpivot_boats(df: DataFrame, processing_only: bool, record: str = "rec") ->
         eqpid.alias("eqp_id"), field("puttime", record).alias("put_time"),
         F.concat(F.element_at(F.split(eqpid, "-"), -1), F.lit("-")).alias("_own"))
 
+    # BOAT_FIELDS maps the source name of a field to its column.
     def of_slot(slot: Column, source: str) -> Column:
         return text(F.concat(F.lit("boat"), slot, F.lit("." + source)))
 
-    # Only the slots with an own tube become rows, and only their fields go along.
-    own = F.filter(F.expr(f"sequence(1, {BOAT_SLOTS})"),
-                   lambda n: F.startswith(of_slot(n, "tube"), F.col("_own")))
-    found = F.transform(own, lambda n: F.struct(*[of_slot(n, s).alias(c) for s, c in BOAT_FIELDS.items()]))
+    # Only the slots with an own tube become rows, and only their fields go along. The tubes of all slots are
+    # looked up by constant names, in generated code; the other fields only for the slots that stay.
+    tubes = F.array(*[F.struct(F.lit(str(n)).alias("slot"), text(F.lit(f"boat{n}.tube")).alias("tube"))
+                      for n in range(1, BOAT_SLOTS + 1)])
+    own = F.filter(tubes, lambda e: F.startswith(e["tube"], F.col("_own")))
+    found = F.transform(own, lambda e: F.struct(*[
+        (e["tube"] if s == "tube" else of_slot(e["slot"], s)).alias(c) for s, c in BOAT_FIELDS.items()]))
     boats = rows.select("*", F.inline(found))
     number = F.replace(F.col("tube_id"), F.col("_own"), F.lit(""))
     boats = boats.withColumn("run_count", text(F.concat(F.lit("tube"), number, F.lit(".runcount"))))
