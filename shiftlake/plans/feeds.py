@@ -9,6 +9,7 @@ from ..functions import codes
 from ..functions.text import format_second
 from ..operators.measurements import DEFECTS
 from ..operators.steps import STEP_RULES, STEPS
+from ..operators.wide import TESTER_KEYS
 
 SITES = ("Z2", "T1", "G1", "Z1")
 TYPES = ("DF", "PE", "PR", "TA")
@@ -247,13 +248,14 @@ def measurement_feed(lineitem: DataFrame) -> DataFrame:
 
 
 def tester_feed(lineitem: DataFrame) -> DataFrame:
-    """Cell tester records; some without a date, and order codes in the comment."""
+    """Cell tester records with every key; some without a date, and order codes in the comment."""
     order, line, part = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey")
     at = F.col("l_shipdate").cast("timestamp")
     site = pick(("G1", "Z1", "Z2", "Z3", "T1", "X1"), order)
     code = pick(("yp", "PL-BY", "by", "xYZ", "LY", "cfx", "cc", "GSQ", "gsh", "CID", "none"), part)
     rows = lineitem.withColumn("seq", order * 10 + line)
-    return lines(rows, {
+    filled = {k: F.when((order + i) % 5 > 0, ((part + i) % 97).cast("string")) for i, k in enumerate(TESTER_KEYS)}
+    return lines(rows, filled | {
         "eqp_id": F.concat(site, F.lit("-CT"), F.lpad((part % 30).cast("string"), 2, "0")),
         "TestDate": F.when(line != 7, F.date_format(at, "dd-MM-yyyy")),
         "TestTime": F.when(line != 6, F.concat_ws(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from ..operators.counters import counter_name
 from ..operators.measurements import DEFECTS
 from ..operators.steps import STEP_RULES, STEPS
+from ..operators.wide import NOT_IN_FULL, TESTER_DETAIL, TESTER_KEYS, tester_column
 from .feeds import LOAD_STATES, MODULES, SITES, TYPES
 
 SECOND = "'%Y-%m-%d %H:%M:%S'"
@@ -595,20 +596,22 @@ t2 AS (SELECT *, site || '-CT' || lpad(CAST(l_partkey % 30 AS VARCHAR), 2, '0')
 t AS (SELECT *, begin_date || ' ' || clock AS begin_time, CAST(begin_date || ' ' || clock AS TIMESTAMP) AS moment FROM t2)
 """
 _tester_key = row_key("(eqp_id || '|' || begin_time)")
+_tester_cells = {
+    tester_column(k): f"CASE WHEN (l_orderkey + {i}) % 5 > 0 THEN CAST((l_partkey + {i}) % 97 AS VARCHAR) ELSE '' END"
+    for i, k in enumerate(TESTER_KEYS)} | {
+    "eqp_id": "eqp_id", "testdate": "test_date", "testtime": "test_time", "bin": "bin", "comments": "comments",
+    "uniqueid": "CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR)",
+    "batchid": "CAST(l_orderkey % 1000 AS VARCHAR)", "uoc": "CAST(CAST(l_quantity AS INT) AS VARCHAR)",
+    "el2data": "l_linestatus", "irev2": "l_returnflag", "site": "site", "begin_date": "begin_date", "begin_time": "begin_time",
+    "shift": f"coalesce({shift('moment', 'site')}, '')", "order_type": _order_type("comments"),
+    "bin_type": "CASE WHEN bin IN ('0', '100') THEN bin ELSE 'OTHER' END", "factory": tester_factory("site")}
 SQL["tester_wide"] = f"""
 WITH {TESTER}
-SELECT {_tester_key} AS row_key, eqp_id, site, begin_date, begin_time, coalesce({shift('moment', 'site')}, '') AS shift, comments, bin,
-  CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS uniqueid, CAST(l_orderkey % 1000 AS VARCHAR) AS batchid,
-  CAST(CAST(l_quantity AS INT) AS VARCHAR) AS uoc, l_linestatus AS el2data, l_returnflag AS irev2, '' AS pepmt,
-  {tester_factory('site')} AS factory
-FROM t
+SELECT {_tester_key} AS row_key, {", ".join(f"{e} AS {c}" for c, e in _tester_cells.items() if c not in NOT_IN_FULL)} FROM t
 """
 SQL["tester_detail"] = f"""
 WITH {TESTER}
-SELECT {_tester_key} AS row_key, CAST(l_orderkey % 1000 AS VARCHAR) AS batch_id, test_time, test_date, bin,
-  CASE WHEN bin IN ('0', '100') THEN bin ELSE 'OTHER' END AS bin_type, {_order_type('comments')} AS order_type,
-  {tester_factory('site')} AS factory, coalesce({shift('moment', 'site')}, '') AS shift, l_returnflag AS irev2, '' AS tcell
-FROM t
+SELECT {_tester_key} AS row_key, {", ".join(f"{_tester_cells[c]} AS {n}" for n, c in TESTER_DETAIL.items())} FROM t
 """
 SQL["order_type_codes"] = f"""
 WITH c AS (SELECT {_order_type("p_name || ' ' || " + pick(("", "by", "gsh", "cc", "LYcid", "yz"), 'p_partkey'))} AS order_type,

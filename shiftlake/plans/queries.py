@@ -312,16 +312,12 @@ def measurement_state(spark, sf_dir):
 
 @query
 def tester_wide(spark, sf_dir):
-    out = jobs.tester_outputs(feeds.tester_feed(feeds.table(spark, sf_dir, "lineitem")))["full"]
-    return out.select("row_key", "eqp_id", "site", "begin_date", "begin_time", "shift", "comments", "bin", "uniqueid",
-                      "batchid", "uoc", "el2data", "irev2", "pepmt", "factory")
+    return jobs.tester_outputs(feeds.tester_feed(feeds.table(spark, sf_dir, "lineitem")))["full"]
 
 
 @query
 def tester_detail(spark, sf_dir):
-    out = jobs.tester_outputs(feeds.tester_feed(feeds.table(spark, sf_dir, "lineitem")))["detail"]
-    return out.select("row_key", "batch_id", "test_time", "test_date", "bin", "bin_type", "order_type", "factory",
-                      "shift", "irev2", "tcell")
+    return jobs.tester_outputs(feeds.tester_feed(feeds.table(spark, sf_dir, "lineitem")))["detail"]
 
 
 @query
