@@ -3,12 +3,14 @@
 import random
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from shiftlake.llm import queries, toxicity
 from shiftlake.llm.staging import staged
 from tests.llm.test_operators import brute_distance, brute_print
+from tests.oracle_check import compare, connect
 
 SF = "/root/testdata/sf0.001"
 
@@ -74,6 +76,13 @@ def test_stages_take_odd_rows(spark):
         assert (seen.count() > 0) == (table.count() > 0)
 
 
+@pytest.mark.parametrize("name", sorted(queries.SQL))
+def test_matches_sql(spark, name):
+    with connect(SF) as con:
+        ok, note = compare(spark, con, SF, name)
+    assert ok, note
+
+
 def test_queries_are_registered():
     assert sorted(queries.REGISTRY, key=lambda n: int(n[2:].split("_")[0])) == [
         "op1_url_filter", "op2_substring_dedup", "op3_toxicity", "op4_quality", "op5_simhash", "op6_best_fit_packing",
