@@ -20,21 +20,24 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from shiftlake.llm.staging import staged
-from shiftlake.llm.tokens import TextEncoder, default_tokenizer
+from shiftlake.llm.tokens import EncoderHandle, default_tokenizer
 
 PIECES = "shard int, nth long, doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
 
 
 def cut(docs: DataFrame, tokenizer: str, end_id: int, max_tokens: int) -> DataFrame:
     """Pieces of at most ``max_tokens`` ids; ``nth`` counts pieces of a length within the task's part."""
+    handle = docs.sparkSession.sparkContext.broadcast(EncoderHandle(tokenizer))
+
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, shard, seen = TextEncoder(tokenizer), TaskContext.get().partitionId(), {}
+        encode, shard, seen = handle.value.get(), TaskContext.get().partitionId(), {}
         schema = pa.schema([("shard", pa.int32()), ("nth", pa.int64()), ("doc_id", pa.int64()), ("piece", pa.int32()),
                             ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("ids", pa.binary())])
         rows, held = [], 0
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = np.append(encode(text.as_py()), end_id).astype("<u4")
+            texts = (text.as_py() for text in batch.column(1))
+            for doc, ids in zip(batch.column(0).to_pylist(), encode.many(texts)):
+                ids = np.append(ids, end_id).astype("<u4")
                 for piece, start in enumerate(range(0, len(ids), max_tokens)):
                     part = ids[start:start + max_tokens]
                     data = part.tobytes()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 
@@ -19,28 +20,97 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+#: Words that are looked up in one go.
+WORDS_AT_ONCE = 50_000
+
+# Single characters that no other character normalises to; one that is absent from the words parts them.
+_SENTINELS = "~^|}{"
+
+
+def _runs(tokenizer, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all words in turn, ids per word), from one call: a sentinel word stands between words."""
+    line = " ".join(words)
+    sentinel = next((c for c in _SENTINELS if c not in line), None)
+    if sentinel is not None:
+        mark, = tokenizer.encode(sentinel, add_special_tokens=False).ids
+        found, = tokenizer.encode_batch_fast([f" {sentinel} ".join(words)], add_special_tokens=False)
+        ids = np.array(found.ids, np.int64)
+        marks = ids == mark
+        ends = np.append(np.flatnonzero(marks), len(ids))
+        sizes = ends.copy()
+        sizes[1:] -= ends[:-1] + 1
+        return ids[~marks], sizes
+    each = [found.ids for found in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+    sizes = np.fromiter(map(len, each), np.int64, len(each))
+    return np.fromiter((i for run in each for i in run), np.int64, int(sizes.sum())), sizes
+
+
 class TextEncoder:
     """Encodes texts word by word with the ``tokenizers`` library.
 
     The tokenizer drops white space and never joins across it, so the ids of a
     text are those of its words in turn; each distinct word is encoded once.
+    Words of plain Latin letters are one piece to the tokenizer's splitting
+    pattern and are unchanged by composition, so they skip both steps.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._words = WordTable(self._encode)
+        self._plain = Tokenizer.from_file(path)
+        self._plain.normalizer = normalizers.Lowercase()
+        self._plain.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self._words = WordTable(self._encode, limit=1_200_000)
 
     def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        ids = [found.ids for found in self._tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        return np.fromiter((i for run in ids for i in run), np.int64, int(sizes.sum())), sizes
+        plain = np.fromiter((w.isalpha() and max(w) < "\u0100" for w in words), bool, len(words))
+        sizes = np.zeros(len(words), np.int64)
+        parts = []
+        for tokenizer, chosen in ((self._plain, plain), (self._tokenizer, ~plain)):
+            some = [w for w, c in zip(words, chosen.tolist()) if c]
+            ids, sizes[chosen] = _runs(tokenizer, some) if some else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+            parts.append((ids, np.repeat(np.flatnonzero(chosen), sizes[chosen])))
+        owner = np.concatenate([at for _, at in parts])
+        return np.concatenate([ids for ids, _ in parts])[np.argsort(owner, kind="stable")], sizes
 
     def __call__(self, text: str | None) -> np.ndarray:
-        if not text:
-            return np.zeros(0, np.int64)
-        if _SEPARATORS.search(text):
-            return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, np.int64)
-        return self._words.expand(text.split())
+        return next(self.many([text]))
+
+    def many(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
+        """Ids of each text; several texts are looked up together."""
+        held: list[tuple[list[str], np.ndarray | None]] = []
+        words = 0
+        for text in texts:
+            whole = None
+            if text and _SEPARATORS.search(text):
+                whole = np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, np.int64)
+            held.append(([] if whole is not None else (text or "").split(), whole))
+            words += len(held[-1][0])
+            if words >= WORDS_AT_ONCE:
+                yield from self._settled(held)
+                held, words = [], 0
+        yield from self._settled(held)
+
+    def _settled(self, held: list[tuple[list[str], np.ndarray | None]]) -> Iterator[np.ndarray]:
+        codes = self._words.codes([w for words, _ in held for w in words])
+        ids, size = self._words.runs(codes), self._words.sizes(codes)
+        ends = np.concatenate([[0], np.cumsum(size)])[np.cumsum([len(words) for words, _ in held])] if held else []
+        start = 0
+        for (_, whole), end in zip(held, ends):
+            yield ids[start:end] if whole is None else whole
+            start = end
+
+
+class EncoderHandle:
+    """To be broadcast: a Python worker builds the encoder once and keeps its word cache from task to task."""
+
+    def __init__(self, path: str):
+        self._path = path
+
+    def get(self) -> TextEncoder:
+        if "_encoder" not in self.__dict__:
+            self._encoder = TextEncoder(self._path)
+        return self._encoder

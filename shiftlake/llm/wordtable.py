@@ -64,6 +64,9 @@ class WordTable:
             index.new = []
         return found
 
+    def sizes(self, codes: np.ndarray) -> np.ndarray:
+        return self._size[codes]
+
     def runs(self, codes: np.ndarray) -> np.ndarray:
         """The runs of the words with these numbers, one after the other."""
         size = self._size[codes]
