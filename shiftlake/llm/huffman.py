@@ -21,12 +21,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from shiftlake.llm.staging import fresh_path, staged
-from shiftlake.llm.tokens import TextEncoder, default_tokenizer
+from shiftlake.llm.tokens import EncoderHandle, default_tokenizer
 
 STRIDE = 256
 MAX_BITS = 18
 
-RAW = "shard int, first long, doc_ids array<long>, sizes array<int>, ids binary"
+RAW = "shard int, first long, doc_ids array<long>, sizes array<int>, ids binary, counts binary"
 BLOCK = "shard int, first long, doc_ids array<long>, sizes array<int>, stops array<int>, bits long, stream binary"
 READ = "shard int, first long, doc_id long, n_tokens long, ids binary"
 
@@ -72,8 +72,8 @@ def canonical(lengths: np.ndarray) -> np.ndarray:
 def encode_ids(ids: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> tuple[bytes, int, np.ndarray]:
     """(stream, its bits, bit offset of every STRIDE-th id)."""
     size = lengths[ids]
-    start = np.cumsum(size) - size
-    bits = int(size.sum())
+    ends = np.cumsum(size)
+    start, bits = ends - size, int(ends[-1]) if len(ids) else 0
     value = codes[ids] << (64 - (start & 31) - size).astype(np.uint64)
     word, room = start >> 5, (bits >> 5) + 2
     # Codes fill disjoint bits, so sums are unions; 32-bit sums are exact in doubles.
@@ -110,29 +110,43 @@ class Decoder:
 
 
 def tokenised(docs: DataFrame, tokenizer: str, end_id: int, block_tokens: int) -> DataFrame:
-    """Raw blocks of ids: ranges of doc_id become shards, in order."""
+    """Raw blocks of ids: ranges of doc_id become shards, in order. The last row of a shard has only its count of every id."""
+    handle = docs.sparkSession.sparkContext.broadcast(EncoderHandle(tokenizer))
+
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, shard, first = TextEncoder(tokenizer), TaskContext.get().partitionId(), 0
-        docs_held, sizes, ids = [], [], []
+        encode, shard, first = handle.value.get(), TaskContext.get().partitionId(), 0
+        docs_held, sizes, ids, held = [], [], [], 0
+        total = np.zeros(0, np.int64)
 
-        def block():
-            data = np.concatenate(ids).astype("<u4").tobytes()
+        def row(first, docs_held, sizes, ids, counts):
             return pa.RecordBatch.from_arrays(
                 [pa.array([shard], pa.int32()), pa.array([first], pa.int64()), pa.array([docs_held], pa.list_(pa.int64())),
-                 pa.array([sizes], pa.list_(pa.int32())), pa.array([data], pa.binary())],
-                names=["shard", "first", "doc_ids", "sizes", "ids"])
+                 pa.array([sizes], pa.list_(pa.int32())), pa.array([ids], pa.binary()), pa.array([counts], pa.binary())],
+                names=["shard", "first", "doc_ids", "sizes", "ids", "counts"])
+
+        def block():
+            nonlocal total
+            line = np.concatenate(ids)
+            found = np.bincount(line, minlength=len(total))
+            found[:len(total)] += total
+            total = found
+            return row(first, docs_held, sizes, line.astype("<u4").tobytes(), None)
 
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids.append(np.append(encode(text.as_py()), end_id))
+            texts = (text.as_py() for text in batch.column(1))
+            for doc, found in zip(batch.column(0).to_pylist(), encode.many(texts)):
+                ids.append(np.append(found, end_id))
                 sizes.append(len(ids[-1]))
                 docs_held.append(doc)
-                if (held := sum(sizes)) >= block_tokens or len(sizes) >= 4096:
+                held += sizes[-1]
+                if held >= block_tokens:
                     yield block()
-                    first += held
+                    first, held = first + held, 0
                     docs_held, sizes, ids = [], [], []
         if sizes:
             yield block()
+        if len(total):
+            yield row(None, None, None, None, total.astype("<i8").tobytes())
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
     return rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id").mapInArrow(blocks, RAW)
@@ -144,14 +158,16 @@ def id_counts(raw: DataFrame) -> dict[int, int]:
         total = np.zeros(0, np.int64)
         for batch in batches:
             for data in batch.column(0):
-                found = np.bincount(np.frombuffer(data.as_buffer(), "<u4"))
-                if len(found) > len(total):
-                    total = np.concatenate([total, np.zeros(len(found) - len(total), np.int64)])
-                total[:len(found)] += found
+                found = np.frombuffer(data.as_buffer(), "<i8").copy()
+                if len(found) < len(total):
+                    found, total = total, found
+                found[:len(total)] += total
+                total = found
         ids = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[ids])], names=["id", "n"])
 
-    found = raw.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    shards = raw.where("counts IS NOT NULL").select("counts")
+    found = shards.mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     return {r["id"]: r["n"] for r in found.collect()}
 
 
@@ -184,7 +200,7 @@ def write_corpus(docs: DataFrame, path: str | None = None, tokenizer: str | None
                      pa.array([stops], pa.list_(pa.int32())), pa.array([bits], pa.int64()), pa.array([stream], pa.binary())],
                     names=["shard", "first", "doc_ids", "sizes", "stops", "bits", "stream"])
 
-    raw.mapInArrow(encode, BLOCK).write.option("compression", "uncompressed").parquet(f"{path}/blocks")
+    raw.where("ids IS NOT NULL").drop("counts").mapInArrow(encode, BLOCK).write.option("compression", "uncompressed").parquet(f"{path}/blocks")
     return path
 
 
