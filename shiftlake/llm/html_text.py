@@ -2,33 +2,34 @@
 
 A page becomes a list of blocks, each in a zone: inside the article, chrome
 (menus, headers, footers, adverts, forms ...) or open, where markup tells
-nothing. Pages of a host are lined up, the token streams of all blocks outside
-articles are joined, and a suffix array finds long runs that occur on distinct
-pages: boilerplate. Open blocks lose the words that such runs cover; article
-blocks are kept whole, since an article printed on two pages is still the text
-of both; chrome goes. A page with an article has only its blocks as text.
-
-Hosts are spread with Spark's rebalance, which splits the parts of a large host
-and keeps small hosts whole; a task lines up a bounded number of pages at once.
+nothing. Article blocks are kept whole, chrome goes. Open blocks, also those
+beside an article, lose what repeats on the host: a page names its open blocks
+and their long runs of words by hashes, the pages of each hash are counted over
+the whole host, however large, and the repeated hashes return to their pages.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shiftlake.llm.staging import staged
 from shiftlake.llm.url_filter import host_of
 
-#: Words of a run that counts as long, and pages that a task lines up at once.
+#: Words of a run that counts as long; pages, and share of the host's pages, on which a repeat stands.
 LEAST_RUN = 5
-PAGES_AT_ONCE = 256
-TOKENS_AT_ONCE = 200_000
+FEWEST_PAGES = 2
+LEAST_SHARE = 0.0
+#: A repeated block of so many words stays on the first of its pages: it may be a copied main text.
+KEPT_ONCE = 1 << 62
 
 ARTICLE, OPEN, CHROME = "article", "open", "chrome"
 
@@ -199,64 +200,99 @@ def repeated_words(streams: list[list[list[str]]], least: int = LEAST_RUN) -> li
     return out
 
 
+def _hash(words: list[str]) -> int:
+    return xxhash.xxh64_intdigest(" ".join(words).encode("utf-8", "surrogatepass"), len(words)) - (1 << 63)
+
+
+def repeatable(blocks: list[tuple[str, str]], least: int = LEAST_RUN) -> list[list[int]]:
+    """Per open block, the hashes of its runs of ``least`` words by place, and last that of the whole block."""
+    found = []
+    for zone, text in blocks:
+        if zone == OPEN:
+            words = text.split(" ")
+            found.append([*(_hash(words[k:k + least]) for k in range(len(words) - least + 1)), _hash(words)])
+    return found
+
+
+def main_text(blocks: list[tuple[str, str]], page: int, first: dict[int, int], least: int = LEAST_RUN) -> str:
+    """The page's article and open blocks, without what repeats. ``first`` has the first page of each repeated hash."""
+    hashes, kept, every = iter(repeatable(blocks, least)), [], []
+    for zone, text in blocks:
+        if zone == CHROME:
+            continue
+        every.append(text)
+        if zone == OPEN:
+            words, (*runs, whole) = text.split(" "), next(hashes)
+            goes = {h for h in (*runs, whole) if h in first and (len(words) < KEPT_ONCE or first[h] != page)}
+            covered = np.full(len(words), whole in goes)
+            for k, h in enumerate(runs):
+                if h in goes:
+                    covered[k:k + least] = True
+            text = " ".join(w for w, c in zip(words, covered) if not c)
+        if text:
+            kept.append(text)
+    # A page of nothing but repeats is a copy of others: its text is not only theirs.
+    return "\n".join(kept or every)
+
+
+def fewest_pages(pages: int) -> int:
+    """On how many of a host's pages a repeat stands."""
+    return max(FEWEST_PAGES, math.ceil(LEAST_SHARE * pages))
+
+
 def main_texts(pages: list[list[tuple[str, str]]], least: int = LEAST_RUN) -> list[str]:
     """Main texts of pages of one host, given their blocks."""
-    outside = [[text.split(" ") for zone, text in blocks if zone != ARTICLE] for blocks in pages]
-    marks = repeated_words(outside, least)
-    texts = []
-    for blocks, words, covered in zip(pages, outside, marks):
-        kept, at = [], 0
-        for zone, text in blocks:
-            if zone == ARTICLE:
-                kept.append(text)
-                continue
-            if zone == OPEN:
-                unique = " ".join(w for w, c in zip(words[at], covered[at]) if not c)
-                if unique:
-                    kept.append(unique)
-            at += 1
-        texts.append("\n".join(kept))
-    return texts
+    on: dict[int, list[int]] = {}
+    for p, blocks in enumerate(pages):
+        for h in {h for own in repeatable(blocks, least) for h in own}:
+            on.setdefault(h, []).append(p)
+    first = {h: at[0] for h, at in on.items() if len(at) >= fewest_pages(len(pages))}
+    return [main_text(blocks, p, first, least) for p, blocks in enumerate(pages)]
 
 
 def extract(pages: DataFrame, least: int = LEAST_RUN) -> DataFrame:
     """Per page: page_id, url, text, n_chars.
 
-    A null or empty page has the empty text. Rows that repeat a page count as
-    pages of their own; a null url is a host of its own name. Extra columns are
-    not read; no rows give no rows.
+    A null or empty page has the empty text. Rows that repeat a page with its
+    url and markup are one page where repeats are counted, and each has its
+    text; a null url is a host of its own name. Extra columns are not read; no
+    rows give no rows.
     """
     blocks_type = pa.list_(pa.struct([("zone", pa.string()), ("text", pa.string())]))
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [[{"zone": z, "text": t} for z, t in blocks_of(h.as_py())] for h in batch.column("html")]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("page_id", "url", "host")), pa.array(found, blocks_type)],
-                                             names=["page_id", "url", "host", "blocks"])
-
-    def line_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, host, size = [], None, 0
-
-        def flush():
-            texts = main_texts([b for _, _, b in held], least)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([p for p, _, _ in held], pa.int64()), pa.array([u for _, u, _ in held], pa.string()), pa.array(texts, pa.string())],
-                names=["page_id", "url", "text"])
-
+            texts, blocks, hashes = [], [], []
+            for html in batch.column("html"):
+                own = blocks_of(html.as_py())
+                open_ = any(zone == OPEN for zone, _ in own)
+                texts.append(None if open_ else main_text(own, 0, {}, least))
+                blocks.append([{"zone": z, "text": t} for z, t in own if z != CHROME] if open_ else None)
+                hashes.append(sorted({h for part in repeatable(own, least) for h in part}) if open_ else None)
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in ("page_id", "url", "host", "page")), pa.array(texts, pa.string()),
+                 pa.array(blocks, blocks_type), pa.array(hashes, pa.list_(pa.int64()))],
+                names=["page_id", "url", "host", "page", "text", "blocks", "hashes"])
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for page, url, of, blocks in zip(*(batch.column(c) for c in ("page_id", "url", "host", "blocks"))):
-                if held and (of.as_py() != host or len(held) >= PAGES_AT_ONCE or size >= TOKENS_AT_ONCE):
-                    yield flush()
-                    held, size = [], 0
-                host = of.as_py()
-                own = [(b["zone"], b["text"]) for b in blocks.as_py()]
-                held.append((page.as_py(), url.as_py(), own))
-                size += sum(len(t) for _, t in own) // 6
-        if held:
-            yield flush()
-
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", host_of(F.col("url")).alias("host"))
-    parsed = rows.mapInArrow(parse, "page_id long, url string, host string, blocks array<struct<zone:string,text:string>>")
-    lined = parsed.hint("rebalance", F.col("host")).sortWithinPartitions("host", "page_id")
-    found = lined.mapInArrow(line_up, "page_id long, url string, text string")
+            texts = []
+            for page, blocks, repeats in zip(*(batch.column(c) for c in ("page", "blocks", "repeats"))):
+                first = {r["hash"]: r["first"] for r in repeats.as_py() or ()}
+                texts.append(main_text([(b["zone"], b["text"]) for b in blocks.as_py()], page.as_py(), first, least))
+            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())],
+                                             names=["page_id", "url", "text"])
+
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", F.coalesce(host_of(F.col("url")), F.lit("")).alias("host"),
+                        F.xxhash64("page_id", "url", "html").alias("page"))
+    parsed = staged(rows.mapInArrow(parse, "page_id long, url string, host string, page long, text string, "
+                                           "blocks array<struct<zone:string,text:string>>, hashes array<long>"), "blocks")
+    sizes = parsed.groupBy("host", "page").agg(F.lit(1)).groupBy("host").agg(F.count("*").alias("pages"))
+    named = parsed.where("hashes is not null").select("host", "page", F.explode("hashes").alias("hash")).distinct()
+    counted = named.groupBy("host", "hash").agg(F.count("*").alias("on"), F.min("page").alias("first")).where(F.col("on") >= FEWEST_PAGES)
+    repeats = counted.join(sizes, "host").where(F.col("on") >= F.ceil(F.lit(LEAST_SHARE) * F.col("pages"))).select("host", "hash", "first")
+    of_page = named.join(repeats, ["host", "hash"]).groupBy("host", "page").agg(F.collect_list(F.struct("hash", "first")).alias("repeats"))
+    open_ = parsed.where("hashes is not null").drop("text", "hashes").join(of_page, ["host", "page"], "left")
+    found = open_.select("page_id", "url", "page", "blocks", "repeats").mapInArrow(finish, "page_id long, url string, text string")
+    found = parsed.where("hashes is null").select("page_id", "url", "text").unionByName(found)
     return found.withColumn("n_chars", F.length("text").cast("long"))

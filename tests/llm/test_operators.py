@@ -373,6 +373,12 @@ def test_open_blocks_lose_repeats():
     assert texts == [" ".join(f"w{k}{i}" for i in range(20)) for k in range(3)]
 
 
+def test_repeats_are_counted_over_the_whole_host(spark):
+    rows = [(k, "http://a.org/", page(f"<p>{' '.join(f'w{k}x{i}' for i in range(20))}</p><div>Made by all of us for you</div>")) for k in range(257)]
+    got = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)).collect()
+    assert {r.page_id: r.text for r in got} == {k: " ".join(f"w{k}x{i}" for i in range(20)) for k in range(257)}
+
+
 def test_repeated_words_against_brute_force():
     rng = random.Random(3)
     pages = [[rng.choices("abc", k=rng.randint(1, 12)) for _ in range(rng.randint(0, 3))] for _ in range(8)]
