@@ -25,11 +25,11 @@ from shiftlake.llm.staging import staged
 from shiftlake.llm.url_filter import host_of
 
 #: Words of a run that counts as long; pages, and share of the host's pages, on which a repeat stands.
-LEAST_RUN = 5
-FEWEST_PAGES = 2
-LEAST_SHARE = 0.0
+LEAST_RUN = 12
+FEWEST_PAGES = 3
+LEAST_SHARE = 0.2
 #: A repeated block of so many words stays on the first of its pages: it may be a copied main text.
-KEPT_ONCE = 1 << 62
+KEPT_ONCE = 30
 
 ARTICLE, OPEN, CHROME = "article", "open", "chrome"
 

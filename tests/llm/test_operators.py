@@ -379,6 +379,18 @@ def test_repeats_are_counted_over_the_whole_host(spark):
     assert {r.page_id: r.text for r in got} == {k: " ".join(f"w{k}x{i}" for i in range(20)) for k in range(257)}
 
 
+def test_shared_words_and_copied_texts_stay():
+    texts = [" ".join(f"w{k}x{i}" for i in range(40)) for k in range(10)]
+    texts[3] = texts[3][:60] + " as they said in the end of the day " + texts[3][60:]
+    texts[4] = texts[4][:50] + " as they said in the end of the day " + texts[4][50:]
+    texts[6] = texts[5]
+    foot = "Printed by all of us for every one of you with great care and joy"
+    pages = [html_text.blocks_of(page(f"<p>{text}</p><h2>News</h2><div>{foot}</div>")) for text in texts]
+    assert html_text.main_texts(pages) == texts
+    same = [html_text.blocks_of(page(f"<p>{texts[0]}</p><p>{foot}</p><p>On day {k}</p>")) for k in range(4)]
+    assert [texts[0] in text for text in html_text.main_texts(same)] == [True, False, False, False]
+
+
 def test_repeated_words_against_brute_force():
     rng = random.Random(3)
     pages = [[rng.choices("abc", k=rng.randint(1, 12)) for _ in range(rng.randint(0, 3))] for _ in range(8)]
