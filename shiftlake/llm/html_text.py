@@ -32,6 +32,8 @@ LEAST_SHARE = 0.2
 KEPT_ONCE = 30
 
 ARTICLE, OPEN, CHROME = "article", "open", "chrome"
+#: An article inside elements that are chrome by their names only.
+WRAPPED = "wrapped"
 
 # Tag and attribute names with a fixed meaning.
 HIDDEN = {"script", "style", "noscript", "template", "head", "title", "svg", "iframe", "object", "canvas", "math"}
@@ -45,11 +47,27 @@ CHROME_NAMES = {"ad", "ads", "advert", "adverts", "advertisement", "banner", "sp
                 "notice", "gdpr", "popup", "modal", "comment", "comments", "disqus", "reply", "replies", "share", "sharing", "social",
                 "related", "recommended", "newsletter", "subscribe", "signup", "login", "search", "pagination", "pager", "widget"}
 CHROME_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alertdialog"}
-_NAMES = re.compile(r"[A-Za-z]+")
+#: Parts that a chrome name may stand with in one class: ad-box, main-nav.
+NAME_PARTS = {"bar", "body", "bottom", "box", "container", "content", "global", "header", "inner", "item", "items", "left", "link", "links",
+              "list", "main", "page", "primary", "right", "secondary", "section", "site", "slot", "top", "unit", "wrap", "wrapper"}
+#: Start tags that end an open p; elements that end by the start of a like one, and where the search for them stops.
+ENDS_P = BLOCKS - {"body", "caption", "dd", "dt", "html", "legend", "li", "summary", "tbody", "td", "tfoot", "th", "thead", "tr"}
+ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr"}, {"table"}),
+        "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"})}
+_PARTS = re.compile(r"[-_]+")
 _SPACE = re.compile(r"\s+")
 _MARKED = re.compile(r"<!\[[^>]*>")
 
 
+def _named(value: str, names: set[str]) -> bool:
+    """Whether a whole class or id is one of ``names``, alone or with parts that only place it."""
+    for token in value.split():
+        parts = {p for p in _PARTS.split(token.rstrip("0123456789")) if p and not p.isdigit()}
+        if parts & names and parts <= names | NAME_PARTS:
+            return True
+    return False
+
+
 class _Blocks(HTMLParser):
     """Collects (zone, text) of every block with text, in page order."""
 
@@ -63,10 +81,32 @@ class _Blocks(HTMLParser):
     def _end_block(self):
         if self._text:
             if text := _SPACE.sub(" ", "".join(self._text)).strip():
-                zone = CHROME if self._chrome else ARTICLE if self._article else OPEN
+                zone = self._zone()
                 self.found.append((zone, text))
             self._text = []
 
+    def _zone(self) -> str:
+        if not self._chrome:
+            return ARTICLE if self._article else OPEN
+        # Names of wrappers around the outermost article do not count against it at once.
+        wrapped = False
+        for tag, _, chrome, article in self._open:
+            if article and not chrome:
+                wrapped = True
+            elif chrome and (wrapped or tag not in ("div", "section", "body", "html")):
+                return CHROME
+        return WRAPPED if wrapped else CHROME
+
+    def _end_implied(self, tag: str):
+        """Close what the start of ``tag`` ends: an open p, the li before."""
+        for ends, within in (({"p"}, {"td", "th", "caption", "table", "button", "object"}) if tag in ENDS_P else (set(), set()), ENDS.get(tag, (set(), set()))):
+            for k in range(len(self._open) - 1, -1, -1) if ends else ():
+                if self._open[k][0] in ends:
+                    self._close_all(self._open[k][0])
+                    break
+                if self._open[k][0] in within:
+                    break
+
     def _is_chrome(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
         if tag in CHROME_TAGS or tag == "header" and not self._article:
             return True
@@ -74,9 +114,9 @@ class _Blocks(HTMLParser):
             value = (value or "").lower()
             if name in ("hidden",) or name == "aria-hidden" and value == "true" or name == "role" and value in CHROME_ROLES:
                 return True
-            if name in ("class", "id") and tag not in ("html", "body", "article", "main") and CHROME_NAMES.intersection(_NAMES.findall(value)):
+            if name in ("class", "id") and tag not in ("html", "body", "article", "main") and _named(value, CHROME_NAMES):
                 return True
-            if name in ("class", "id") and tag == "article" and {"comment", "reply", "ad", "promo"}.intersection(_NAMES.findall(value)):
+            if name in ("class", "id") and tag == "article" and _named(value, {"comment", "reply", "ad", "promo"}):
                 return True
         return False
 
@@ -85,6 +125,7 @@ class _Blocks(HTMLParser):
             self._end_block()
         elif tag == "br":
             self._text.append(" ")
+        self._end_implied(tag)
         if tag in VOID:
             return
         hidden, chrome = tag in HIDDEN, self._is_chrome(tag, attrs)
@@ -133,14 +174,13 @@ class _Blocks(HTMLParser):
 
 
 def blocks_of(html: str | None) -> list[tuple[str, str]]:
-    """(zone, text) per block. With an article on the page, text outside it is chrome too."""
+    """(zone, text) per block. An article in a wrapper with a chrome name counts if the page has no other."""
     parser = _Blocks()
     # To browsers a marked section is a comment; to this parser an unknown one is an error.
     parser.feed(_MARKED.sub("", html or ""))
     parser.close()
-    if any(zone == ARTICLE for zone, _ in parser.found):
-        return [(CHROME if zone == OPEN else zone, text) for zone, text in parser.found]
-    return parser.found
+    wrapped = CHROME if any(zone == ARTICLE for zone, _ in parser.found) else ARTICLE
+    return [(wrapped if zone == WRAPPED else zone, text) for zone, text in parser.found]
 
 
 def suffix_array(codes: np.ndarray, depth: int) -> np.ndarray:

@@ -381,8 +381,8 @@ def test_repeats_are_counted_over_the_whole_host(spark):
 
 def test_shared_words_and_copied_texts_stay():
     texts = [" ".join(f"w{k}x{i}" for i in range(40)) for k in range(10)]
-    texts[3] = texts[3][:60] + " as they said in the end of the day " + texts[3][60:]
-    texts[4] = texts[4][:50] + " as they said in the end of the day " + texts[4][50:]
+    texts[3] = texts[3][:59] + " as they said in the end of the day " + texts[3][60:]
+    texts[4] = texts[4][:49] + " as they said in the end of the day " + texts[4][50:]
     texts[6] = texts[5]
     foot = "Printed by all of us for every one of you with great care and joy"
     pages = [html_text.blocks_of(page(f"<p>{text}</p><h2>News</h2><div>{foot}</div>")) for text in texts]
@@ -391,6 +391,23 @@ def test_shared_words_and_copied_texts_stay():
     assert [texts[0] in text for text in html_text.main_texts(same)] == [True, False, False, False]
 
 
+@pytest.mark.parametrize("inside,text", [
+    ("<div class='layout has-sidebar'><article>Body</article></div>", "Body"),
+    ("<div class='with-nav search-results'><article>Body</article></div>", "Body"),
+    ("<div class='no-comments'><p>Body</p></div>", "Body"),
+    ("<div class='widget'><main><p>Body</p></main></div>", "Body"),
+    ("<div class='related'><article>Other</article></div><article>Body</article>", "Body"),
+    ("<aside><article>Other</article></aside><p>Body</p>", "Body"),
+    ("<p class='notice'>Cookies<p>Body<p>More", "Body\nMore"),
+    ("<ul><li class='ad'>Buy<li>Body</ul>", "Body"),
+    ("<h1>Head</h1><p>Lead</p><article>Body</article>", "Head\nLead\nBody"),
+    ("<article>Body<div class='comment-list'>Me</div></article>", "Body"),
+    ("<div class='main-nav'>Go</div><p>Body</p>", "Body"),
+])
+def test_markup_keeps_the_text(inside, text):
+    assert html_text.main_texts([html_text.blocks_of(page(inside))]) == [text]
+
+
 def test_repeated_words_against_brute_force():
     rng = random.Random(3)
     pages = [[rng.choices("abc", k=rng.randint(1, 12)) for _ in range(rng.randint(0, 3))] for _ in range(8)]
