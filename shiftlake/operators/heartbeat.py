@@ -24,8 +24,23 @@ def parse_heartbeats(df: DataFrame, value: str = "value") -> DataFrame:
     return rows.where("ts is not null").drop(value, "_d")
 
 
-# Windows per device when the messages set the bounds: over two years of hours.
-MOST_WINDOWS = 20_000
+# Clocks that were reset count on from their default date (1970, 1980, 2000), wrong ones may stand years ahead.
+EARLIEST = "2001-01-01 00:00:00"
+AHEAD_SECONDS = 86_400
+# Windows per array when they are listed.
+AT_ONCE = 1_000
+
+
+def clock_fault(ts: Column, clock: Column | None = None) -> Column:
+    """``ahead`` for a time over a day ahead of the clock, ``default`` for one at a default date, else null."""
+    clock = F.current_timestamp() if clock is None else clock
+    ahead = F.unix_timestamp(ts) > F.unix_timestamp(clock) + AHEAD_SECONDS
+    return F.when(ahead, "ahead").when(ts < F.lit(EARLIEST).cast("timestamp"), "default")
+
+
+def clock_faults(beats: DataFrame, clock: Column | None = None) -> DataFrame:
+    """Messages that set no bounds and take no part in the alarms without bounds: eqp_id, ts, reason."""
+    return beats.select("eqp_id", "ts", clock_fault(F.col("ts"), clock).alias("reason")).where("reason is not null")
 
 
 def window_of(ts: Column, seconds: int) -> Column:
@@ -47,8 +62,11 @@ def expected_beats(devices: DataFrame, start: Column, end: Column, seconds: int)
     """One placeholder per listed device and window from ``start`` to ``end``."""
     shift = cal.PLANT_UTC_OFFSET % seconds
     first = F.floor((F.unix_timestamp(start) - shift) / seconds) * seconds + shift
-    marks = F.sequence(first, F.unix_timestamp(end), F.lit(seconds).cast("long"))
-    return devices.select("eqp_id", F.explode(marks).alias("s")).select(
+    last = F.unix_timestamp(end)
+    # A long span goes part by part, never as one array.
+    parts = devices.select("eqp_id", last.alias("_last"), F.explode(F.sequence(first, last, F.lit(seconds * AT_ONCE).cast("long"))).alias("_part"))
+    marks = F.sequence("_part", F.least(F.col("_last"), F.col("_part") + seconds * (AT_ONCE - 1)), F.lit(seconds).cast("long"))
+    return parts.select("eqp_id", F.explode(marks).alias("s")).select(
         "eqp_id", F.timestamp_seconds("s").alias("ts"), F.lit(0).alias("ok"))
 
 
@@ -77,22 +95,23 @@ def alarms(status: DataFrame, created: Column | None = None) -> DataFrame:
 
 
 def silence_alarms(beats: DataFrame, devices: DataFrame, seconds: int, start: Column | None = None,
-                   end: Column | None = None, created: Column | None = None, most_windows: int = MOST_WINDOWS) -> DataFrame:
+                   end: Column | None = None, created: Column | None = None) -> DataFrame:
     """Batch form: every listed device x window, full outer with the messages;
     real messages of a device that is not listed stay in.
 
-    Without bounds the windows cover the time between the first and the last
-    message, but at most the ``most_windows`` before the last: one device whose
-    clock stands at 1970 must not make millions of windows for every device.
+    Without bounds the windows cover all time between the first and the last
+    message. Messages of a faulty clock are set aside for that: one device at
+    1970 or 2099 must not make windows for every device. ``clock_faults`` has
+    them; the clock is ``created``.
     Messages are reduced to windows first; the bounds and the result
     both read that reduced shuffle.
     """
+    if start is None or end is None:
+        beats = beats.where(clock_fault(F.col("ts"), created).isNull())
     real = window_status(beats.select("eqp_id", "ts", F.lit(1).alias("ok")), seconds)
     heard = real.where("cnt > 0")
     end = heard.agg(F.max("w.start")).scalar() if end is None else end
-    if start is None:
-        earliest = F.timestamp_seconds(F.unix_timestamp(end) - most_windows * seconds)
-        start = F.greatest(heard.agg(F.min("w.start")).scalar(), earliest)
+    start = heard.agg(F.min("w.start")).scalar() if start is None else start
     expected = expected_beats(devices, start, end, seconds).select(
         "eqp_id", F.struct(F.col("ts").alias("start"),
                            F.timestamp_seconds(F.unix_timestamp("ts") + seconds).alias("end")).alias("w"),

@@ -220,3 +220,8 @@ def defect_alarms(feed: DataFrame, threshold: int = counters.THRESHOLD) -> DataF
 
 def tester_silence(feed: DataFrame, devices: DataFrame, seconds: int, created: Column | None = None) -> DataFrame:
     return heartbeat.silence_alarms(heartbeat.parse_heartbeats(feed), devices, seconds, created=created)
+
+
+def tester_clock_faults(feed: DataFrame, clock: Column | None = None) -> DataFrame:
+    """The messages that ``tester_silence`` sets aside. ``clock`` as its ``created``."""
+    return heartbeat.clock_faults(heartbeat.parse_heartbeats(feed), clock)

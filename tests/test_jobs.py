@@ -104,6 +104,19 @@ def test_silence_alarms(spark):
     assert silent[("Z2-H2", "00")][2] == "No message received for a long time(Z2-H2)"
 
 
+def test_silence_covers_the_whole_span_of_right_clocks(spark):
+    def beat(eqp, day, time):
+        return {"data": {"eqp_id": eqp, "TestDate": day, "TestTime": time}}
+
+    devices = spark.createDataFrame([("Z2-H1",), ("Z2-H2",)], "eqp_id string")
+    lines = feed(spark, beat("Z2-H1", "01-01-2020", "00:00:30"), beat("Z2-H1", "21-01-2020", "00:00:30"),
+                 beat("Z2-H3", "01-01-2099", "00:00:00"), beat("Z2-H4", "02-01-1970", "00:00:00"))
+    out = jobs.tester_silence(lines, devices, 60).groupBy("eqp_id", "status").count().collect()
+    windows = 20 * 24 * 60 + 1
+    assert {(r.eqp_id, r.status): r["count"] for r in out} == {("Z2-H1", 1): 2, ("Z2-H1", 0): windows - 2, ("Z2-H2", 0): windows}
+    assert {(r.eqp_id, r.reason) for r in jobs.tester_clock_faults(lines).collect()} == {("Z2-H3", "ahead"), ("Z2-H4", "default")}
+
+
 def test_tester_defaults(spark):
     out = jobs.tester_outputs(feed(spark, {"data": {"eqp_id": "Z1-H1", "Comment": "abcc by", "BIN": "100"}}, {"data": {}}, {"x": 1},
                                    {"data": {"eqp_id": "Z1-H1", "TestDate": "99-99-2020"}}))
