@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiftlake.llm import decontaminate, exact_dedup, html_text, huffman, packing, quality, simhash, substring_dedup, toxicity, url_filter
+from shiftlake.llm import (decontaminate, exact_dedup, html_text, huffman, importance, packing, quality, simhash, spelling,
+                           substring_dedup, toxicity, url_filter, warc)
 from shiftlake.llm.labels import held_out
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,7 +85,35 @@ def op10_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_classes(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_spelling_variants(spark, sf_dir):
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_warc_revisits(spark, sf_dir):
+    path = warc.write_archives(table(spark, sf_dir, "pages"))
+    return warc.read_archives(spark, path, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op13_importance_resampling(spark, sf_dir):
+    drawn = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 SQL: dict[str, str] = {
+    "op12_warc_revisits": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS t FROM pages),
+             g AS (SELECT t, min(page_id) AS first FROM p GROUP BY t),
+             q AS (SELECT page_id, first, strlen(t) AS payload_bytes, sha1(t) AS digest FROM p JOIN g USING (t))
+        SELECT page_id, payload_bytes,
+               array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(
+                   ((CAST('0x' || substr(digest, CAST(5 * (i // 4) + 1 AS INT), 5) AS INT) >> CAST(15 - 5 * (i % 4) AS INT)) & 31) + 1 AS INT), 1)
+                   FOR i IN range(32)], '') AS payload_digest,
+               CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> first THEN first END AS refers_to
+        FROM q""",
     "op10_exact_dedup": """
         WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
              g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
