@@ -12,7 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 
 #: Symbols per sampled row of counts.
-BLOCK = 32
+BLOCK = 16
 END, STOP = 0, 1
 
 
@@ -96,7 +96,7 @@ class FmIndex:
         within = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
         text[np.repeat(starts, lengths) + within] = np.searchsorted(self.alphabet, flat) + 2
         text[-1] = END
-        self._word_of_start = {int(s): i for i, s in enumerate(starts)}
+        self._starts = starts
         symbols = len(self.alphabet) + 2
         self.symbols, self.n = symbols, len(text)
         self._first = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=symbols))])
@@ -107,9 +107,9 @@ class FmIndex:
         order = suffix_order(back)
         self._right = Counts(back[order - 1], symbols)
 
-    def code(self, word: str) -> np.ndarray:
-        """Symbols of a word; -1 for a character that no indexed word has."""
-        points = np.frombuffer(word.encode("utf-32-le"), np.uint32)
+    def codes(self, words: list[str]) -> np.ndarray:
+        """Symbols of all words in turn; -1 for a character that no indexed word has."""
+        points = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
         if not len(self.alphabet):
             return np.full(len(points), -1, np.int64)
         at = np.minimum(np.searchsorted(self.alphabet, points), len(self.alphabet) - 1)
@@ -154,7 +154,7 @@ class FmIndex:
         """(pattern, number of the word) of states whose string is a whole word between stops."""
         which = np.repeat(np.arange(len(states)), states.size)
         place = self._order[np.repeat(states.low, states.size) + np.arange(len(which)) - np.repeat(np.cumsum(states.size) - states.size, states.size)]
-        return states.pattern[which], np.fromiter((self._word_of_start[int(p) + 1] for p in place), np.int64, len(place))
+        return states.pattern[which], np.searchsorted(self._starts, place + 1)
 
     def near(self, patterns: list[str], exact_first: bool) -> tuple[np.ndarray, np.ndarray]:
         """(pattern, word) of indexed words that are a pattern with one symbol replaced or inserted.
@@ -163,28 +163,35 @@ class FmIndex:
         to the stop before it, and then extended over the second half with the
         error; otherwise the halves change places and directions.
         """
-        codes = [self.code(p) for p in patterns]
-        exact, other = [], []
-        for c in codes:
-            half = len(c) // 2
-            # In the order in which they are read, each half up to its stop.
-            exact.append(c[:half][::-1] if exact_first else c[half:])
-            other.append(c[half:] if exact_first else c[:half][::-1])
-        states = self._exactly(self.start(len(patterns)), exact, leftwards=exact_first)
-        return self.words_at(self._with_one_error(states, other, leftwards=not exact_first))
+        flat = self.codes(patterns)
+        length = np.fromiter(map(len, patterns), np.int64, len(patterns))
+        middle, half = np.cumsum(length) - length + length // 2, length // 2
+        halves = [(flat, middle, half, -1), (flat, middle, length - half, 1)]
+        exact, other = halves if exact_first else halves[::-1]
+        # Patterns with the same exact half share its search.
+        number: dict[str, int] = {}
+        names = (p[:len(p) // 2] if exact_first else p[len(p) // 2:] for p in patterns)
+        own = np.fromiter((number.setdefault(name, len(number)) for name in names), np.int64, len(patterns))
+        _, one = np.unique(own, return_index=True)
+        found = self._exactly(self.start(len(one)), self._read(exact[0], exact[1][one], exact[2][one], exact[3]), leftwards=exact_first)
+        at = np.full(len(number), -1, np.int64)
+        at[found.pattern] = np.arange(len(found))
+        met = np.flatnonzero(at[own] >= 0)
+        states = found.chosen(at[own[met]])
+        states.pattern = met
+        return self.words_at(self._with_one_error(states, self._read(*other), leftwards=not exact_first))
 
     @staticmethod
-    def _flat(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Symbols of all parts with a stop after each, where each starts, and its length with the stop."""
-        size = np.fromiter((len(p) + 1 for p in parts), np.int64, len(parts))
-        flat = np.full(int(size.sum()), STOP, np.int64)
-        start = np.cumsum(size) - size
-        for s, p in zip(start.tolist(), parts):
-            flat[s:s + len(p)] = p
-        return flat, start, size
-
-    def _exactly(self, states: States, parts: list[np.ndarray], leftwards: bool) -> States:
-        flat, start, size = self._flat(parts)
+    def _read(flat: np.ndarray, middle: np.ndarray, size: np.ndarray, way: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Symbols of the halves in the order in which they are read from the middle, with a stop after each: (all in turn, starts, sizes)."""
+        start = np.cumsum(size + 1) - (size + 1)
+        out = np.full(int((size + 1).sum()), STOP, np.int64)
+        step = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+        out[np.repeat(start, size) + step] = flat[np.repeat(middle, size) + (step if way > 0 else -1 - step)]
+        return out, start, size + 1
+
+    def _exactly(self, states: States, parts: tuple[np.ndarray, np.ndarray, np.ndarray], leftwards: bool) -> States:
+        flat, start, size = parts
         done: list[States] = []
         step = 0
         while len(states):
@@ -199,9 +206,9 @@ class FmIndex:
         out.at[:] = 0
         return out
 
-    def _with_one_error(self, clean: States, parts: list[np.ndarray], leftwards: bool) -> States:
+    def _with_one_error(self, clean: States, parts: tuple[np.ndarray, np.ndarray, np.ndarray], leftwards: bool) -> States:
         """States that have read a part and its stop with exactly one symbol replaced or inserted."""
-        flat, start, size = self._flat(parts)
+        flat, start, size = parts
         done: list[States] = []
         wrong = clean.chosen(np.zeros(len(clean), bool))
         while len(clean) or len(wrong):

@@ -11,10 +11,9 @@ is cut into blocks that all meet, so no group has to fit into one task.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -81,28 +80,30 @@ def _dealt(words: DataFrame) -> DataFrame:
     return rows[0].unionByName(rows[1])
 
 
-def _search(table: pa.Table) -> Iterator[tuple[str, int, str, int]]:
-    """(word, n, near, near_n) of one bundle, the word being the shorter or as long."""
-    side = np.array([h[0] for h in table.column("half").to_pylist()])
-    entry = table.column("is_entry").to_numpy()
-    words, n = table.column("word").to_pylist(), table.column("n").to_numpy()
-    for sign in "<>":
-        chosen = np.flatnonzero(entry & (side == sign))
-        indexed = {words[i]: int(n[i]) for i in chosen}
-        asked = {words[i]: int(n[i]) for i in np.flatnonzero(~entry & (side == sign))}
-        if not indexed or not asked:
-            continue
-        names, patterns = sorted(indexed), sorted(asked)
-        at, found = FmIndex(names).near(patterns, exact_first=sign == "<")
-        for i, j in set(zip(at.tolist(), found.tolist())):
-            yield patterns[i], asked[patterns[i]], names[j], indexed[names[j]]
-
-
 PAIR = pa.schema([("word", pa.string()), ("n", pa.int64()), ("near", pa.string()), ("near_n", pa.int64())])
 
 
 def _search_bundle(table: pa.Table) -> pa.Table:
-    return pa.Table.from_pylist([dict(zip(PAIR.names, row)) for row in _search(table)], PAIR)
+    """word, n, near, near_n of one bundle, the word being the shorter or as long."""
+    words, n = table.column("word").combine_chunks(), table.column("n").to_numpy()
+    names = words.to_pylist()
+    entry = table.column("is_entry").to_numpy()
+    front = pc.equal(pc.utf8_slice_codeunits(table.column("half"), 0, 1), "<").to_numpy()
+    parts = [PAIR.empty_table()]
+    for exact_first in (True, False):
+        side = front == exact_first
+        # A word is an entry under several halves, but indexed once.
+        indexed = {names[i]: i for i in np.flatnonzero(entry & side).tolist()}
+        asked = {names[i]: i for i in np.flatnonzero(~entry & side).tolist()}
+        if not indexed or not asked:
+            continue
+        at, found = FmIndex(list(indexed)).near(list(asked), exact_first)
+        pairs = np.unique(at * len(indexed) + found)
+        at, found = pairs // len(indexed), pairs % len(indexed)
+        left = np.fromiter(asked.values(), np.int64, len(asked))[at]
+        right = np.fromiter(indexed.values(), np.int64, len(indexed))[found]
+        parts.append(pa.Table.from_arrays([words.take(pa.array(left)), pa.array(n[left]), words.take(pa.array(right)), pa.array(n[right])], schema=PAIR))
+    return pa.concat_tables(parts)
 
 
 def near_pairs(words: DataFrame, index_words: int = INDEX_WORDS, bundle_rows: int = BUNDLE_ROWS) -> DataFrame:
