@@ -17,7 +17,7 @@ def counter_name(defect: str) -> str:
     return "n_" + defect.replace(" ", "_")
 
 
-# Column of a row that carries the counts of a key from before: count and time of the last write per category.
+# Column of a row that carries the counts of a key from before, one per category.
 CARRIED = "_carried"
 
 
@@ -31,24 +31,16 @@ def _counted(df: DataFrame) -> dict[str, Column]:
     def adds(i: int, defect: str) -> Column:
         if CARRIED not in df.columns:
             return _hits(defect)
-        return F.coalesce(F.col(CARRIED)[i]["n"], _hits(defect))
+        return F.coalesce(F.col(CARRIED)[i], _hits(defect))
 
     return {counter_name(d): adds(i, d) for i, d in enumerate(DEFECTS)}
 
 
-def carried_counts(df: DataFrame, keys: Sequence[str], until: Column, forget_seconds: int) -> DataFrame:
+def carried_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One carrying row per key, at its last record, in the columns of ``df`` (which has ``CARRIED``)."""
-    last = F.max(F.struct("ts", "seq"))
-    written = [F.max(F.when((_hits(d) > 0) | F.col(CARRIED).isNotNull(), F.coalesce(F.col(CARRIED)[i]["at"], F.col("ts"))))
-               for i, d in enumerate(DEFECTS)]
-    rows = df.groupBy(*keys).agg(
-        last.alias("_last"), F.min("ts").alias("_began"),
-        *[F.sum(c).alias(n) for n, c in _counted(df).items()], *[w.alias(f"{counter_name(d)}_at") for d, w in zip(DEFECTS, written)])
-    # A counter counts as written when the key's counting began.
-    entries = [F.struct(F.col(counter_name(d)).alias("n"), F.coalesce(f"{counter_name(d)}_at", "_began").alias("at")) for d in DEFECTS]
-    rows = rows.select(*keys, F.col("_last.ts").alias("ts"), F.col("_last.seq").alias("seq"), F.array(*entries).alias(CARRIED))
-    oldest = F.array_min(F.transform(CARRIED, lambda x: x["at"]))
-    rows = rows.where(F.unix_timestamp(oldest) + forget_seconds >= F.unix_timestamp(until))
+    counts = _counted(df)
+    rows = df.groupBy(*keys).agg(F.max(F.struct("ts", "seq")).alias("_last"), *[F.sum(c).alias(n) for n, c in counts.items()])
+    rows = rows.select(*keys, F.col("_last.ts").alias("ts"), F.col("_last.seq").alias("seq"), F.array(*counts).alias(CARRIED))
     return rows.select(*[F.col(c) if c in rows.columns else F.lit(None).cast(df.schema[c].dataType).alias(c) for c in df.columns])
 
 
@@ -88,3 +80,8 @@ def defect_window_counts(df: DataFrame, seconds: int = 60, keys: Sequence[str] =
         *[F.sum(_hits(d)).alias(counter_name(d)) for d in DEFECTS]
     ).select(*keys, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
              *[counter_name(d) for d in DEFECTS])
+
+
+def counter_adds() -> list[tuple[str, Column]]:
+    """Name of every counter and what a record adds to it."""
+    return [(counter_name(d), _hits(d)) for d in DEFECTS]

@@ -94,6 +94,43 @@ def alarms(status: DataFrame, created: Column | None = None) -> DataFrame:
     )
 
 
+# Carried between micro-batches: messages counted so far of a window that is still open. Without a device: the first open window.
+COUNTED = "n"
+
+
+def silence_step(beats: DataFrame, devices: DataFrame, seconds: int, until: int, ended: bool) -> tuple[DataFrame, DataFrame]:
+    """Windows that ``until`` (epoch seconds, the watermark) has closed, of every listed device, and the counts to carry.
+
+    ``beats`` are ``eqp_id, ts, n``: messages, or what an earlier call has
+    carried. Windows start at that of the first message; when the input has
+    ended they reach to that of the last one. Returns ``eqp_id, w, cnt, status``.
+    """
+    shift = cal.PLANT_UTC_OFFSET % seconds
+    heard = beats.where("eqp_id is not null").groupBy("eqp_id", window_of(F.col("ts"), seconds).alias("w")).agg(
+        F.sum(F.coalesce(COUNTED, F.lit(1))).alias("cnt"))
+    bounds = beats.select(F.col("eqp_id"), F.unix_timestamp(window_of(F.col("ts"), seconds)["start"]).alias("at")).agg(
+        F.min("at"), F.max(F.when(F.col("eqp_id").isNotNull(), F.col("at")))).first()
+    if bounds[0] is None:
+        return heard.withColumn("status", F.lit(1)), beats.limit(0)
+    start = bounds[0]
+    # The first window that is still open; every window before it is returned now.
+    open_at = (until - shift) // seconds * seconds + shift
+    if ended:
+        open_at = start if bounds[1] is None else max(start, bounds[1] + seconds)
+    open_at = max(start, open_at)
+    closed = heard.where(F.unix_timestamp("w.start") < open_at).select("eqp_id", "w", "cnt")
+    if open_at > start:
+        first, last = F.timestamp_seconds(F.lit(start)), F.timestamp_seconds(F.lit(open_at - seconds))
+        closed = closed.unionByName(expected_beats(devices, first, last, seconds).select(
+            "eqp_id", F.struct(F.col("ts").alias("start"), F.timestamp_seconds(F.unix_timestamp("ts") + seconds).alias("end")).alias("w"),
+            F.col("ok").cast("long").alias("cnt")))
+    done = closed.groupBy("eqp_id", "w").agg(F.sum("cnt").cast("int").alias("cnt"))
+    kept = heard.where(F.unix_timestamp("w.start") >= open_at).select("eqp_id", F.col("w.start").alias("ts"), F.col("cnt").alias(COUNTED))
+    marker = beats.sparkSession.range(1).select(F.lit(None).cast("string").alias("eqp_id"), F.timestamp_seconds(F.lit(open_at)).alias("ts"),
+                                                F.lit(0).cast("long").alias(COUNTED))
+    return done.withColumn("status", (F.col("cnt") > 0).cast("int")), kept.unionByName(marker)
+
+
 def silence_alarms(beats: DataFrame, devices: DataFrame, seconds: int, start: Column | None = None,
                    end: Column | None = None, created: Column | None = None) -> DataFrame:
     """Batch form: every listed device x window, full outer with the messages;

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.codes import text_map
@@ -64,5 +64,31 @@ def tag_step(eqp_type: Column, text: Column, rules: tuple[StepRule, ...] = STEP_
     return out
 
 
+def tag_steps(df: DataFrame, rules: DataFrame, eqp_type: str = "eqp_type", text: str = "_text", step: str = "step") -> DataFrame:
+    """``df`` with the step that ``rules`` (``rule_no, eqp_type, kind, text, step``) give its trimmed text, null where none fits.
+
+    The rules are those of ``tag_step``, but data: their number is not bounded
+    by the plan. ``same`` and ``exact`` rules are joins on type and text, whose
+    form Spark chooses by measured size; ``contains`` rules come as one list per
+    type and are tried only where no rule of kind ``same`` fits. Of several
+    rules for a text the smallest ``rule_no`` counts.
+    """
+    def least(rows: DataFrame, *keys: str) -> DataFrame:
+        return rows.groupBy(*keys).agg(F.min(F.struct("rule_no", "step")).alias("_hit"))
+
+    own = rules.select("rule_no", F.col("eqp_type").alias("_type"), "kind", F.col("text").alias("_rule"), F.col("step").alias("step"))
+    same = least(own.where("kind = 'same'").withColumn("_rule", F.lower("_rule")), "_type", "_rule").withColumnsRenamed({"_hit": "_same", "_type": "_t1", "_rule": "_r1"})
+    exact = least(own.where("kind = 'exact'"), "_type", "_rule").withColumnsRenamed({"_hit": "_exact", "_type": "_t2", "_rule": "_r2"})
+    listed = own.where("kind = 'contains'").groupBy("_type").agg(
+        F.collect_list(F.struct("rule_no", "step", "_rule")).alias("_listed")).withColumnRenamed("_type", "_t3")
+    rows = df.join(same, (F.col(eqp_type) == F.col("_t1")) & (F.lower(text) == F.col("_r1")), "left")
+    rows = rows.join(exact, (F.col(eqp_type) == F.col("_t2")) & (F.col(text) == F.col("_r2")), "left")
+    rows = rows.join(listed, F.col(eqp_type) == F.col("_t3"), "left")
+    inside = F.array_min(F.transform(F.filter("_listed", lambda r: F.contains(F.col(text), r["_rule"])),
+                                     lambda r: F.struct(r["rule_no"].alias("rule_no"), r["step"].alias("step"))))
+    found = F.when(F.col("_same").isNotNull(), F.col("_same.step")).otherwise(F.least(F.col("_exact"), inside)["step"])
+    return rows.select(*[c for c in df.columns if c != step], found.alias(step))
+
+
 def next_step(step: Column) -> Column:
     return F.try_element_at(text_map(dict(zip(STEPS, STEPS[1:] + STEPS[:1]))), step)

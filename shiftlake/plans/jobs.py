@@ -20,9 +20,11 @@ from ..functions.text import (format_second, is_date_time, is_equipment_id, not_
 from ..operators import (boats, brackets, counters, dedup, enrich, heartbeat, intervals, lookup,
                          measurements, modules, status, upsert, wide)
 from ..operators.slices import SLICE_SECONDS
-from ..operators.steps import STEP_RULES, StepRule, tag_step
+from ..operators.steps import STEP_RULES, StepRule, tag_step, tag_steps
 
 Suffix = Callable[[Column], Column] | None
+# Rules of the steps as constants of the plan or as a table.
+Rules = tuple[StepRule, ...] | DataFrame
 
 
 def parsed(feed: DataFrame, mapping: dict[str, str] | None = None, variant: str = "rename_lower",
@@ -75,6 +77,12 @@ def status_outputs(feed: DataFrame, mapping: dict[str, str] | None = None) -> di
     }
 
 
+def latest_status_updates(feed: DataFrame, mapping: dict[str, str] | None = None) -> DataFrame:
+    """Latest status per device, with its position; on a stream in update mode."""
+    rows = status.status_update(status.status_records(parsed(feed, mapping, null_as_empty=True)), order=("seq",))
+    return dedup.latest_per_key(rows.where("laststatusdate is not null"), ["name"], ["laststatusdate", "seq"])
+
+
 def alarm_actions(feed: DataFrame, mapping: dict[str, str] | None = None) -> DataFrame:
     return status.alarm_action(status.alarm_records(parsed(feed, mapping)))
 
@@ -98,7 +106,7 @@ def tester_outputs(feed: DataFrame) -> dict[str, DataFrame]:
 # Step efficiency ----------------------------------------------------------
 
 def step_feed(feed: DataFrame, mapping: dict[str, str] | None = None, need_tube: bool = False,
-              rules: tuple[StepRule, ...] = STEP_RULES) -> DataFrame:
+              rules: Rules = STEP_RULES) -> DataFrame:
     """Tagged step rows; rows without a step are dropped."""
     rows = parsed(feed, mapping, "lower_rename")
     valid = is_equipment_id(field("eqpid")) & is_date_time(field("puttime"))
@@ -110,7 +118,11 @@ def step_feed(feed: DataFrame, mapping: dict[str, str] | None = None, need_tube:
         site=codes.site_of(field("eqpid")), eqp_type=codes.device_type(field("eqpid")),
         runcount=text_or_empty(field("runcount")), states=text_or_empty(field("_states_")),
         _text=strip(field("_text1_")))
-    rows = once(rows, step=tag_step(F.col("eqp_type"), F.col("_text"), rules)).where("step is not null")
+    if isinstance(rules, DataFrame):
+        rows = tag_steps(rows, rules)
+    else:
+        rows = once(rows, step=tag_step(F.col("eqp_type"), F.col("_text"), rules))
+    rows = rows.where("step is not null")
     return rows.select("eqpid", "tubeid", "ts", "seq", "site", "eqp_type", "runcount", "states", "step")
 
 
@@ -121,7 +133,7 @@ def _labelled(df: DataFrame) -> DataFrame:
 
 
 def step_efficiency(feed: DataFrame, dimension: DataFrame | None = None, mapping: dict[str, str] | None = None,
-                    rules: tuple[StepRule, ...] = STEP_RULES, slice_seconds: int = SLICE_SECONDS) -> DataFrame:
+                    rules: Rules = STEP_RULES, slice_seconds: int = SLICE_SECONDS) -> DataFrame:
     """Step intervals with shift label and row key; with standard times where a dimension is given."""
     out = step_labels(intervals.step_intervals(step_feed(feed, mapping, rules=rules), slice_seconds=slice_seconds))
     return out if dimension is None else lookup.standard_times(out, dimension)
@@ -135,7 +147,7 @@ def step_labels(closed: DataFrame) -> DataFrame:
 
 
 def step_efficiency_by_shift(feed: DataFrame, mapping: dict[str, str] | None = None,
-                             rules: tuple[StepRule, ...] = STEP_RULES, slice_seconds: int = SLICE_SECONDS,
+                             rules: Rules = STEP_RULES, slice_seconds: int = SLICE_SECONDS,
                              open_until: Column | None = None) -> DataFrame:
     """Step intervals cut at shift switches; labels are those of each piece."""
     rows = step_feed(feed, mapping, need_tube=True, rules=rules)

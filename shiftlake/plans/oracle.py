@@ -463,6 +463,21 @@ SELECT seq, boat_id, cell_q, col_q, put_time, {", ".join(counter_name(d) for d i
 WHERE {" OR ".join(f"({counter_name(d)} >= 10 AND {counter_name(d)} - h{i} < 10)" for i, d in enumerate(DEFECTS))}
 """
 SQL["stream_defect_counters"] = SQL["defect_threshold"]
+# A category starts again two hours after its last write; minutes that the watermark has not passed are open.
+_ranks = [(f"h{i}", f"l{i}", f"s{i}", f"r{i}", counter_name(d)) for i, d in enumerate(DEFECTS)]
+SQL["stream_defect_counters_ttl"] = f"""
+WITH {DEFECT},
+a AS (SELECT *, {", ".join(f"max(ts) FILTER (WHERE {h} > 0) OVER w AS {l}" for h, l, _, _, _ in _ranks)} FROM d
+      WHERE date_trunc('minute', ts) + INTERVAL 1 MINUTE <= (SELECT max(ts) - INTERVAL 1 MINUTE FROM d)
+      WINDOW w AS (PARTITION BY boat_id ORDER BY ts, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+b AS (SELECT *, {", ".join(f"sum(CASE WHEN {l} IS NULL OR ts - {l} >= INTERVAL 2 HOUR THEN 1 ELSE 0 END) OVER w AS {s}" for _, l, s, _, _ in _ranks)} FROM a
+      WINDOW w AS (PARTITION BY boat_id ORDER BY ts, seq ROWS UNBOUNDED PRECEDING)),
+t AS (SELECT *, {", ".join(
+    f"CAST(coalesce(sum({h}) OVER (PARTITION BY boat_id, {s} ORDER BY ts, seq ROWS UNBOUNDED PRECEDING), 0) AS BIGINT) AS {n}"
+    for h, _, s, _, n in _ranks)} FROM b)
+SELECT seq, boat_id, cell_q, col_q, put_time, {", ".join(n for *_, n in _ranks)} FROM t
+WHERE {" OR ".join(f"({n} >= 3 AND {n} - {h} < 3)" for h, _, _, _, n in _ranks)}
+"""
 SQL["defect_window_counts"] = f"""
 WITH {DEFECT}
 SELECT boat_id, {fmt("date_trunc('hour', ts)")} AS window_start, {fmt("date_trunc('hour', ts) + INTERVAL 1 HOUR")} AS window_end,
@@ -557,6 +572,23 @@ SELECT user_id, seq, outcome,
 FROM o WHERE outcome IS NOT NULL
 """
 
+def _pair(pattern: str, version: int, first: str, then: str, hours: int, valid: str) -> str:
+    return f"""SELECT user_id, seq, '{pattern}' AS pattern_id, {version} AS version,
+  CASE WHEN t1 - ts >= INTERVAL {hours} HOUR THEN 'timeout' WHEN e1 = '{then}' THEN 'match' END AS outcome,
+  CASE WHEN t1 - ts >= INTERVAL {hours} HOUR THEN 1 ELSE 2 END AS matched,
+  CASE WHEN t1 - ts >= INTERVAL {hours} HOUR THEN seq ELSE s1 END AS last_seq FROM u WHERE event_type = '{first}' AND {valid} AND t1 IS NOT NULL"""
+
+
+SQL["sequence_many_patterns"] = f"""
+WITH {USERS},
+three AS ({SQL["sequence_three_steps"]}),
+o AS ({_pair('buy', 1, 'view', 'purchase', 6, "ts < TIMESTAMP '2024-01-16'")}
+      UNION ALL {_pair('buy', 2, 'click', 'purchase', 12, "ts >= TIMESTAMP '2024-01-16'")}
+      UNION ALL {_pair('fault', 1, 'error', 'error', 24, "ts >= TIMESTAMP '2024-01-10'")})
+SELECT * FROM o WHERE outcome IS NOT NULL
+UNION ALL SELECT user_id, seq, 'funnel', 1, outcome, matched, last_seq FROM three
+"""
+
 # Nested and wide records ---------------------------------------------------------
 
 MEAS = f"""
@@ -665,3 +697,25 @@ WITH {BASE} SELECT seq, eqpid, {_puttime} AS puttime, event_type AS status FROM
 SQL["sql_cast"] = f"""
 WITH {BASE} SELECT seq, eqpid, CASE WHEN k % 11 > 0 THEN k END AS cnt FROM f WHERE k <> 97 AND k % 4 = 0
 """
+
+# Streams that equal their batch twins ----------------------------------------------------
+
+SQL["stream_silence_alarm"] = SQL["silence_alarm"]
+SQL["stream_cdc_apply"] = SQL["cdc_latest"]
+SQL["stream_latest_status"] = SQL["latest_status"]
+SQL["stream_sql_filter"] = SQL["sql_filter"]
+SQL["stream_topics"] = "SELECT event_type AS topic, event_id, user_id, value FROM events WHERE event_type IN ('view', 'click', 'purchase')"
+SQL["stream_fan_out"] = f"""
+SELECT 'loaded' AS target, seq, row_key AS detail FROM ({SQL["enrich_standard"]})
+UNION ALL SELECT 'rejected', seq, reason FROM ({SQL["rejected_lines"]})
+"""
+SQL["stream_late_rows"] = """
+SELECT event_id AS seq, CAST(user_id AS VARCHAR) AS eqpid, CASE WHEN ts < TIMESTAMP '2024-01-16' THEN 'late' ELSE 'ahead' END AS reason,
+  CASE WHEN ts < TIMESTAMP '2024-01-16' THEN 1 ELSE 0 END AS batch
+FROM events WHERE ts < TIMESTAMP '2024-01-16' OR ts > TIMESTAMP '2024-01-26'
+"""
+SQL["step_rules_table"] = SQL["step_intervals"]
+SQL["script_insert"] = f"""
+WITH {BASE}, a AS (SELECT seq, eqpid, CASE WHEN k % 11 > 0 THEN k END AS code, 'S' || CAST(k % 4 AS VARCHAR) AS status FROM f WHERE k <> 97)
+SELECT eqpid, status, count(*) FILTER (WHERE code >= 50) AS n, max(seq) AS last_seq FROM a GROUP BY eqpid, status HAVING n > 0
+"""

@@ -13,9 +13,10 @@ from ..functions.records import field
 from ..functions.text import format_second, hump_to_underscore, parse_second
 from ..operators import (brackets, changes, counters, dedup, enrich, intervals, lookup, measurements,
                          modules, sequences, status, upsert, wide)
-from ..session import prepare
+from ..operators.steps import STEP_RULES
+from ..session import fresh_dir, prepare
 from . import feeds, jobs
-from .sqlscript import Statement, run_script
+from .sqlscript import Setting, Statement, run_script
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -118,6 +119,14 @@ def step_intervals_by_shift(spark, sf_dir):
                       "year", "month", "week", "row_key")
 
 
+@query
+def step_rules_table(spark, sf_dir):
+    rules = spark.createDataFrame([(k, r.eqp_type, r.kind, r.text, r.step) for k, r in enumerate(STEP_RULES)],
+                                  "rule_no int, eqp_type string, kind string, text string, step string")
+    out = jobs.step_efficiency(feeds.stepped_feed(events_of(spark, sf_dir)), mapping=feeds.STEP_MAPPING, rules=rules)
+    return out.select(*STEP_OUT, "run_count_next", "site", "factory", "day_date", "shift", "row_key", "states")
+
+
 # Benches, furnaces, boats ----------------------------------------------------
 
 @query
@@ -294,6 +303,23 @@ def sequence_three_steps(spark, sf_dir):
     return out.select("user_id", "seq", "outcome", "matched", F.element_at("events", -1)["seq"].alias("last_seq"))
 
 
+PATTERN_STEPS = """
+SELECT * FROM VALUES
+  ('buy', 1, CAST(NULL AS TIMESTAMP), 1, 'start', "event_type = 'view'", 21600), ('buy', 1, NULL, 2, 'next', "event_type = 'purchase'", 21600),
+  ('buy', 2, TIMESTAMP'2024-01-16', 1, 'start', "event_type = 'click'", 43200), ('buy', 2, TIMESTAMP'2024-01-16', 2, 'next', "event_type = 'purchase'", 43200),
+  ('funnel', 1, NULL, 1, 'first', "event_type = 'view'", 86400), ('funnel', 1, NULL, 2, 'second', "event_type <> 'error'", 86400),
+  ('funnel', 1, NULL, 3, 'third', "event_type = 'purchase'", 86400),
+  ('fault', 1, TIMESTAMP'2024-01-10', 1, 'start', "event_type = 'error'", 86400), ('fault', 1, TIMESTAMP'2024-01-10', 2, 'next', "event_type = 'error'", 86400)
+AS t(pattern_id, version, valid_from, step_no, name, predicate, within_seconds)"""
+
+
+@query
+def sequence_many_patterns(spark, sf_dir):
+    versions = sequences.pattern_versions(spark.sql(PATTERN_STEPS))
+    out = sequences.match_patterns(_user_events(spark, sf_dir), versions, ["user_id"])
+    return out.select("user_id", "seq", "pattern_id", "version", "outcome", "matched", "last_seq")
+
+
 # Nested and wide records ---------------------------------------------------------
 
 @query
@@ -395,3 +421,21 @@ def sql_cast(spark, sf_dir):
         Statement("CREATE OR REPLACE TEMPORARY VIEW parsed_alarm AS "
                   "SELECT seq, eqpid, status, try_cast(alarmcode AS INT) AS cnt FROM eqp_state_alarm", 1),
     ])[-1]
+
+
+@query
+def script_insert(spark, sf_dir):
+    """Tables made and filled by statements: a Parquet table of alarms and a CSV table of counts, read back together."""
+    rows = jobs.parsed(feeds.alarm_feed(events_of(spark, sf_dir)), variant="lower")
+    record_fields(rows, "eqpid", "alarmcode", "status").createOrReplaceTempView("alarm_lines")
+    root = fresh_dir(spark, "script")
+    return run_script(spark, [
+        Statement("CREATE TABLE alarms_${job.run} (seq BIGINT, eqpid STRING, code INT, status STRING) USING parquet LOCATION '${job.root}/alarms'", 1),
+        Statement("INSERT INTO alarms_${job.run} SELECT seq, eqpid, try_cast(alarmcode AS INT), status FROM alarm_lines WHERE seq % 2 = 0", 2),
+        Statement("INSERT INTO alarms_${job.run} SELECT seq, eqpid, try_cast(alarmcode AS INT), status FROM alarm_lines WHERE seq % 2 = 1", 3),
+        Statement("CREATE TABLE counts_${job.run} (eqpid STRING, status STRING, n BIGINT) USING csv OPTIONS (quote '\"') LOCATION '${job.root}/counts'", 4),
+        Statement("INSERT INTO counts_${job.run} SELECT eqpid, status, count(*) FROM alarms_${job.run} WHERE code >= ${job.least} GROUP BY eqpid, status", 5),
+        Statement("SELECT c.eqpid, c.status, c.n, a.last_seq FROM counts_${job.run} c JOIN "
+                  "(SELECT eqpid, status, max(seq) AS last_seq FROM alarms_${job.run} GROUP BY eqpid, status) a USING (eqpid, status)", 6),
+    ], [Setting("job.root", "string", root), Setting("job.run", "string", root[-12:]), Setting("job.least", "int", " 50 "),
+        Setting("spark.sql.variable.substitute", "boolean", "TRUE")])[-1]

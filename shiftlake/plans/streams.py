@@ -10,23 +10,44 @@ from pyspark.sql import functions as F
 
 from ..functions.records import field
 from ..functions.text import format_second
-from ..operators import brackets, heartbeat, lookup, measurements, wide
-from ..operators.counters import counter_name
+from ..operators import brackets, changes, heartbeat, lookup, measurements, sequences, wide
+from ..operators.counters import counter_adds, counter_name
 from ..session import fresh_dir
+from ..sinks.changed import apply_changes, live_rows
 from ..sinks.keyed import DELETE, KeyedTable, columns_of_map, put_records, put_routed
-from ..sources.tables import Refreshing
-from ..sources.topics import map_batches, stream_table
-from ..streaming import builtin, carry, processors
+from ..sources.tables import DEVICE_REFRESH_SECONDS, Refreshing
+from ..sources.topics import json_view, map_batches, read_topic_folders, stream_table
+from ..streaming import builtin, carry, counting, processors
 from ..streaming.options import StreamOptions
-from ..streaming.runner import run_job
+from ..streaming.runner import CommittedSinks, run_fan_out, run_job
 from . import feeds, jobs
-from .queries import BUY, LOADER_MAPPING, STEP_OUT, TABLES, events_of, query
+from .queries import BUY, FIXED_NOW, HALF, LOADER_MAPPING, STEP_OUT, TABLES, events_of, query
+from .sqlscript import Statement, run_script
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_table(spark, f"{sf_dir}/events.parquet")
 
 
+def cut_stream(df: DataFrame, label: str, parts: int = 3, jitter_seconds: int = 0, ts: str = "ts", seq: str = "event_id") -> DataFrame:
+    """The rows of ``df`` as a stream of ``parts`` files, a micro-batch each.
+
+    Files follow one another in time; a row may come up to ``jitter_seconds``
+    too late for its place.
+    """
+    spark = df.sparkSession
+    folder = f"{fresh_dir(spark, label)}/in"
+    late = F.pmod(F.xxhash64(seq), F.lit(jitter_seconds)) if jitter_seconds else F.lit(0)
+    at = F.unix_timestamp(F.col(ts).cast("timestamp"))
+    first, last = df.agg(F.min(at), F.max(at)).first()
+    span = max(1, last - first + 1) if first is not None else 1
+    part = F.least(F.floor((at + late - F.lit(first)) * parts / span), F.lit(parts - 1))
+    for k in range(parts):
+        # One after the other, as a stream of files takes them by age.
+        df.where(F.coalesce(part, F.lit(0)) == k).coalesce(1).write.mode("append").parquet(folder)
+    return stream_table(spark, folder, df.schema, max_files=1)
+
+
 def to_table(stream: DataFrame, label: str, single_batch: bool = False) -> DataFrame:
     """Run an append stream to the end and read its output."""
     spark = stream.sparkSession
@@ -163,10 +184,140 @@ def stream_lookup(spark, sf_dir):
 @query
 def stream_defect_counters(spark, sf_dir):
     rows = jobs.defect_feed(feeds.defect_lines(event_stream(spark, sf_dir)))
-    out = through_carry(rows, carry.defect_step(forget_seconds=10 ** 9), "defect-counters", delay_seconds=60)
+    out = through_carry(rows, carry.defect_step(), "defect-counters", delay_seconds=60)
+    return out.select("seq", "boat_id", "cell_q", "col_q", "put_time", *[counter_name(d) for d in measurements.DEFECTS])
+
+
+#: Hits within two hours of one another at which the given events, sparse as they are, alarm.
+TTL_THRESHOLD = 3
+
+
+@query
+def stream_defect_counters_ttl(spark, sf_dir):
+    stream = cut_stream(events_of(spark, sf_dir), "defect-ttl", parts=3, jitter_seconds=50)
+    rows = jobs.defect_feed(feeds.defect_lines(stream))
+    out = to_table(counting.ttl_counters(rows, "boat_id", counter_adds(), ["cell_q", "col_q", "put_time"], TTL_THRESHOLD), "defect-ttl")
     return out.select("seq", "boat_id", "cell_q", "col_q", "put_time", *[counter_name(d) for d in measurements.DEFECTS])
 
 
+@query
+def stream_silence_alarm(spark, sf_dir):
+    stream = cut_stream(events_of(spark, sf_dir), "silence", parts=3, jitter_seconds=90)
+    beats = heartbeat.parse_heartbeats(feeds.heartbeat_feed(stream)).where(heartbeat.clock_fault(F.col("ts")).isNull())
+    devices = Refreshing(lambda: feeds.listed_devices(feeds.table(spark, sf_dir, "supplier")), DEVICE_REFRESH_SECONDS)
+    out = through_carry(beats, carry.silence_window_step(devices, 3600), "silence")
+    return heartbeat.alarms(out, F.lit(FIXED_NOW).cast("timestamp"))
+
+
+@query
+def stream_cdc_apply(spark, sf_dir):
+    """Change files in no order, the second batch replayed after the run."""
+    orders = feeds.table(spark, sf_dir, "orders")
+    root = fresh_dir(spark, "cdc-apply")
+    parts = 3
+    for k in range(parts):
+        orders.where(F.pmod(F.xxhash64("o_orderkey"), F.lit(parts)) == k).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    table = KeyedTable(spark, f"{root}/table", key="id", partition="part")
+    replay = []
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        rows = changes.parse_changes(feeds.change_feed(batch))
+        image = F.coalesce("after", "before")
+        rows = rows.select(image["id"].alias("id"), *[F.try_element_at("after", F.lit(n)).alias(n) for n in ("status", "priority")], "ts", "seq", "op")
+        rows = rows.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(8)))
+        replay.append(apply_changes(table, rows, ["ts", "seq"], F.col("op") == "d", batch_id))
+
+    StreamOptions(f"{root}/checkpoint").apply(stream_table(spark, f"{root}/in", orders.schema, max_files=1)).foreachBatch(
+        map_batches(apply)).start().awaitTermination()
+    apply(orders, 1)
+    if replay != [True] * parts + [False]:
+        raise RuntimeError(f"batches were applied as {replay}")
+    return live_rows(table, ["id", "status", "priority"])
+
+
+@query
+def stream_latest_status(spark, sf_dir):
+    """State per device in update mode: a batch brings the devices that changed, the table keeps their latest."""
+    stream = cut_stream(events_of(spark, sf_dir), "latest-status", parts=3, jitter_seconds=7 * 86400)
+    root = fresh_dir(spark, "latest-status")
+    table = KeyedTable(spark, f"{root}/table", key="name", partition="part")
+    latest = jobs.latest_status_updates(feeds.status_feed(stream)).withColumn("part", F.pmod(F.xxhash64("name"), F.lit(8)))
+    StreamOptions(f"{root}/checkpoint").apply(latest).outputMode("update").foreachBatch(
+        lambda batch, n: apply_changes(table, batch, ["laststatusdate", "seq"], F.lit(False), n)).start().awaitTermination()
+    return live_rows(table, ["name", "statuscodename", "laststatusdate", "prdtimeflag"]).withColumn(
+        "laststatusdate", format_second(F.col("laststatusdate")))
+
+
+@query
+def stream_sql_filter(spark, sf_dir):
+    """A stream with a declared schema as a view, queried by a script."""
+    json_view(spark, feeds.stepped_feed(cut_stream(events_of(spark, sf_dir), "sql-filter")), "eqp_stream", "EqpID STRING, PutTime STRING, State STRING", ["seq"])
+    rows = run_script(spark, [
+        Statement("SELECT seq, eqpid, puttime, status FROM eqp_purchase", 2),
+        Statement("CREATE OR REPLACE TEMPORARY VIEW eqp_purchase AS "
+                  "SELECT seq, EqpID AS eqpid, PutTime AS puttime, State AS status FROM eqp_stream WHERE State = 'purchase'", 1),
+    ])[-1]
+    return to_table(rows, "sql-filter")
+
+
+@query
+def stream_topics(spark, sf_dir):
+    """Three topics by pattern in two runs; the third folder and more files appear between them."""
+    root = fresh_dir(spark, "topics")
+    events = events_of(spark, sf_dir)
+    first = F.col("event_id") % 2 == 0
+
+    def publish(topic: str, condition) -> None:
+        events.where((F.col("event_type") == topic) & condition).write.mode("append").parquet(f"{root}/in/{topic}")
+
+    def run() -> None:
+        rows = read_topic_folders(spark, f"{root}/in", "view|click|purchase", events.schema, is_pattern=True).select("topic", "event_id", "user_id", "value")
+        StreamOptions(f"{root}/checkpoint").apply(rows).outputMode("append").format("parquet").option("path", f"{root}/out").start().awaitTermination()
+
+    for topic in ("view", "click", "error"):
+        publish(topic, first)
+    run()
+    publish("purchase", F.lit(True))
+    for topic in ("view", "click", "error"):
+        publish(topic, ~first)
+    run()
+    return spark.read.parquet(f"{root}/out")
+
+
+@query
+def stream_fan_out(spark, sf_dir):
+    """Loaded and rejected lines of every micro-batch, committed together."""
+    root = fresh_dir(spark, "fan-out")
+    sinks = CommittedSinks(spark, f"{root}/out")
+
+    def job(batch: DataFrame) -> dict[str, DataFrame]:
+        feed = feeds.loader_feed(batch)
+        return {"loaded": jobs.load_records(feed, LOADER_MAPPING).select("seq", field("row_key").alias("detail")),
+                "rejected": jobs.rejected(feed, mapping=LOADER_MAPPING).select("seq", F.col("reason").alias("detail"))}
+
+    run_fan_out(cut_stream(events_of(spark, sf_dir), "fan-out"), job, sinks, StreamOptions(f"{root}/checkpoint")).start().awaitTermination()
+    return reduce(DataFrame.unionByName, [sinks.read(n).select(F.lit(n).alias("target"), "seq", "detail") for n in ("loaded", "rejected")])
+
+
+# A clock that some of the given events are ahead of.
+SLOW_CLOCK = "2024-01-25 00:00:00"
+
+
+@query
+def stream_late_rows(spark, sf_dir):
+    """Two files, the younger half first: the older half is late, and what lies a day past the clock is ahead."""
+    root = fresh_dir(spark, "late-rows")
+    events = events_of(spark, sf_dir)
+    for older in (False, True):
+        events.where((F.col("ts").cast("timestamp") < HALF) == older).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    rows = stream_table(spark, f"{root}/in", events.schema, max_files=1).select(
+        F.col("event_id").alias("seq"), F.col("ts").cast("timestamp").alias("ts"), F.col("user_id").cast("string").alias("eqpid"))
+    clock = spark.range(1).select(F.unix_timestamp(F.lit(SLOW_CLOCK).cast("timestamp"))).first()[0]
+    carry.run_ordered(rows, carry.dedup_step(["eqpid"]), carry.parquet_sink(f"{root}/out"), f"{root}/carry", StreamOptions(f"{root}/checkpoint"),
+                      120, clock=lambda: float(clock)).start().awaitTermination()
+    return carry.set_aside(spark, f"{root}/carry", rows.schema).select("seq", "eqpid", "reason", "batch")
+
+
 @query
 def stream_sequences(spark, sf_dir):
     rows = event_stream(spark, sf_dir).select(

@@ -75,6 +75,10 @@ class KeyedTable:
         return self._apply(keys, batch_id, source,
                            lambda old, gone: without_keys(old, gone, [self.key]), only_existing=True)
 
+    def merge(self, rows: DataFrame, batch_id: int | None, source: str, combine: Callable[[DataFrame, DataFrame], DataFrame]) -> bool:
+        """Replace the touched partitions by what ``combine`` makes of their rows and the new ones (one per key)."""
+        return self._apply(rows, batch_id, source, combine)
+
     def _apply(self, rows: DataFrame, batch_id: int | None, source: str,
                combine: Callable[[DataFrame, DataFrame], DataFrame], only_existing: bool = False) -> bool:
         before = self.manifest()

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # Start positions; group offsets and none resume from the checkpoint.
 START_POSITIONS = {"earliest": "earliest", "latest": "latest", "groupoffsets": None, "none": None}
@@ -103,9 +104,32 @@ def stream_table(spark: SparkSession, path: str, schema: str | None = None, fmt:
     return reader.load(f"{path[:-1]}[{path[-1]}]")
 
 
-def json_view(spark: SparkSession, feed: DataFrame, name: str, schema: str) -> DataFrame:
-    """Register JSON texts with a declared schema as a view."""
-    out = feed.select(F.from_json("value", schema).alias("_r")).select("_r.*")
+def read_topic_folders(spark: SparkSession, root: str, topics: str, schema: str | StructType, is_pattern: bool = False, fmt: str = "parquet",
+                       max_files: int | None = None) -> DataFrame:
+    """Stream over a folder per topic below ``root``, each row with its ``topic``: a comma list, or a pattern of names.
+
+    Folders are looked for in every micro-batch, so a topic that appears later
+    is found; the checkpoint knows the files that were read.
+    """
+    names = [t.strip() for t in topics.split(",") if t.strip()]
+    # A pattern matches whole names; the rest of what the folder holds is not read beyond its listing.
+    glob = "*" if is_pattern else "{" + ",".join(names) + "}"
+    reader = spark.readStream.format(fmt).schema(schema)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    rows = reader.load(f"{root.rstrip('/')}/{glob}")
+    folder = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
+    out = rows.select("*", F.url_decode(folder).alias("topic"))
+    return out.where(F.col("topic").rlike(f"^(?:{topics})$")) if is_pattern else out
+
+
+def json_view(spark: SparkSession, feed: DataFrame, name: str, schema: str, kept: Sequence[str] = ()) -> DataFrame:
+    """Register JSON texts with a declared schema as a view, batch or stream; ``kept`` are further columns of the feed.
+
+    A line that is no JSON object is left out.
+    """
+    out = feed.select(*kept, F.from_json("value", schema, {"columnNameOfCorruptRecord": "_bad"}).alias("_r"), F.json_object_keys("value").isNotNull().alias("_ok"))
+    out = out.where("_ok").select(*kept, "_r.*")
     out.createOrReplaceTempView(name)
     return out
 

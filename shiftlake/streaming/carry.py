@@ -22,10 +22,12 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.types import StructType
 
-from ..operators import brackets, counters, dedup, intervals
+from ..operators import brackets, counters, dedup, heartbeat, intervals
 from ..operators.dedup import latest_per_key
 from ..sinks.files import ControlFiles
+from ..sources.tables import Refreshing
 from .options import StreamOptions
 
 # (settled rows, watermark, whether the input has ended) -> (finished results, rows to carry)
@@ -34,8 +36,6 @@ Sink = Callable[[DataFrame, int], None]
 
 # How far a time may lie ahead of the clock; plant clocks drift by minutes, not days.
 AHEAD_SECONDS = 86_400
-# Defect counts are forgotten after two hours.
-FORGET_SECONDS = 2 * 3600
 # First moment of a run that a shift switch has cut.
 ORIGIN = "_origin"
 
@@ -107,6 +107,19 @@ def run_ordered(stream: DataFrame, step: Step, sink: Sink, carry_folder: str, op
     return options.apply(stream).foreachBatch(each)
 
 
+def set_aside(spark: SparkSession, carry_folder: str, schema: StructType) -> DataFrame:
+    """The rows that no result has, with the ``reason`` (late, ahead) and the ``batch`` that brought them."""
+    marks = ControlFiles(spark, f"{carry_folder}/marks", "batch")
+    out = None
+    for reason in ("late", "ahead"):
+        folder = f"{carry_folder}/{reason}"
+        found = [n for n in marks.children(folder) if n.startswith("batch=")]
+        rows = spark.read.parquet(folder) if found else spark.createDataFrame([], schema).withColumn("batch", F.lit(0))
+        rows = rows.select(*schema.fieldNames(), "batch", F.lit(reason).alias("reason"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def flush(spark: SparkSession, step: Step, sink: Sink, carry_folder: str) -> None:
     """Settle the carried rows of an input that has ended, as one more batch.
 
@@ -155,18 +168,27 @@ def record_interval_step(keys: Sequence[str], terminal: Column | None = None) ->
     return lambda rows, mark, ended: (intervals.record_intervals(rows, keys, terminal), latest_per_key(rows, keys))
 
 
-def defect_step(keys: Sequence[str] = ("boat_id",), threshold: int = counters.THRESHOLD,
-                forget_seconds: int = FORGET_SECONDS) -> Step:
-    """Running defect counters: one row per key carries its counts and when each was last written.
-
-    If any counter of a key has not been written for ``forget_seconds`` when a
-    batch settles, all counters of the key start again.
-    """
+def defect_step(keys: Sequence[str] = ("boat_id",), threshold: int = counters.THRESHOLD) -> Step:
+    """Running defect counters: one row per key carries its counts. They are never forgotten; see ``counting`` for a time to live."""
     def step(rows: DataFrame, mark: Column, ended: bool) -> tuple[DataFrame, DataFrame]:
         if counters.CARRIED not in rows.columns:
-            rows = rows.withColumn(counters.CARRIED, F.lit(None).cast("array<struct<n:bigint,at:timestamp>>"))
+            rows = rows.withColumn(counters.CARRIED, F.lit(None).cast("array<bigint>"))
         done = counters.defect_threshold(rows, keys, threshold).drop(counters.CARRIED)
-        return done, counters.carried_counts(rows, keys, mark, forget_seconds)
+        return done, counters.carried_counts(rows, keys)
+
+    return step
+
+
+def silence_window_step(devices: Refreshing, seconds: int) -> Step:
+    """Windows of every listed device, closed as the watermark moves. The list is read again by its own age.
+
+    A window is judged by the list of the batch that closes it.
+    """
+    def step(rows: DataFrame, mark: Column, ended: bool) -> tuple[DataFrame, DataFrame]:
+        if heartbeat.COUNTED not in rows.columns:
+            rows = rows.withColumn(heartbeat.COUNTED, F.lit(None).cast("long"))
+        until = rows.sparkSession.range(1).select(F.unix_timestamp(mark)).first()[0]
+        return heartbeat.silence_step(rows.select("eqp_id", "ts", heartbeat.COUNTED), devices.get(), seconds, until, ended)
 
     return step
 

@@ -105,7 +105,7 @@ def test_defect_counters_do_not_depend_on_batches_or_order(spark, defects, tmp_p
         stream = stream_table(spark, str(tmp_path / "turned"), max_files=1)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 20)
     try:
-        got = run_carry(spark, stream, carry.defect_step(forget_seconds=10 ** 6), tmp_path, delay=30)
+        got = run_carry(spark, stream, carry.defect_step(), tmp_path, delay=30)
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     want = counters.defect_threshold(defects)
@@ -113,17 +113,6 @@ def test_defect_counters_do_not_depend_on_batches_or_order(spark, defects, tmp_p
     assert rows_of(want, *columns) and rows_of(got, *columns) == rows_of(want, *columns)
 
 
-def test_defect_counters_are_forgotten(spark, defects, tmp_path):
-    late = defects.withColumn("ts", F.col("ts") + F.expr("INTERVAL 5 HOURS")).withColumn("seq", F.col("seq") + 1000)
-    each = carry.run_ordered(defects, carry.defect_step(), carry.parquet_sink(f"{tmp_path}/out"), f"{tmp_path}/carry", Now(), 0)
-    pause = late.where("seq = 1000").withColumn("boat_id", F.lit("B9"))
-    for n, batch in enumerate((defects, pause, late.where("seq > 1000"))):
-        each(batch, n)
-    got = spark.read.parquet(f"{tmp_path}/out").where("seq >= 1000").drop("batch")
-    want = counters.defect_threshold(late.where("seq > 1000"))
-    assert rows_of(got, "boat_id", "seq") == rows_of(want, "boat_id", "seq")
-
-
 def test_replayed_batch_gives_the_same(spark, steps, tmp_path):
     half = steps.where("seq < 200"), steps.where("seq >= 200")
     sink, folder = carry.parquet_sink(f"{tmp_path}/out"), f"{tmp_path}/carry"
