@@ -15,8 +15,10 @@ def training_texts(docs: DataFrame, labels: DataFrame, label: str, most: int) ->
     """doc_id, text, label of at most ``most`` labelled documents, chosen by a hash of the id.
 
     ``most`` bounds what a fit gathers, and so makes the sample safe to broadcast.
-    Rows without id or label are left out; where a doc_id has two labels the larger counts.
+    Rows without id or label are left out; where a doc_id has two labels the larger counts,
+    where it has several texts the first in order, so that rows are as bounded as labels.
     """
     chosen = labels.where(F.col(label).isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(
         F.max(label).cast("int").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    met = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    return met.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("label").alias("label"))

@@ -25,6 +25,8 @@ SIZES, BITS = (3, 4, 5), 18
 #: Labelled documents a fit gathers at most.
 MOST_LABELLED = 4000
 THRESHOLD = 0.3
+#: n-grams of a text from which they are counted per bucket.
+MANY = 1 << 14
 
 
 @dataclass
@@ -38,7 +40,13 @@ class Model:
 
 def _counted(table: WordTable, text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """(n-gram buckets of a text, their counts)."""
-    return np.unique(table.expand((text or "").lower().split()), return_counts=True)
+    found = table.expand((text or "").lower().split())
+    if len(found) < MANY:
+        return np.unique(found, return_counts=True)
+    # Counting all buckets is cheaper than sorting that many n-grams.
+    counts = np.bincount(found, minlength=1 << BITS)
+    grams = np.flatnonzero(counts)
+    return grams, counts[grams]
 
 
 def _damped(counts: np.ndarray) -> np.ndarray:
@@ -113,11 +121,10 @@ def _logistic(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, labels: np
     return w[:width], float(w[width])
 
 
-def fit(texts: DataFrame, alpha: float = 1.0, strength: float = 1.0, least_texts: int = 3, keep: int = 30_000) -> Model:
+def fit(texts: DataFrame, alpha: float = 1.0, strength: float = 1.0, least_texts: int = 3) -> Model:
     """Model of ``label`` (0 or 1) on ``text``; ``texts`` is a bounded sample.
 
-    n-grams of fewer than ``least_texts`` texts have no say, and only the
-    ``keep`` heaviest enter the model. Without texts of both classes every
+    n-grams of fewer than ``least_texts`` texts have no say. Without texts of both classes every
     score is the share of label 1 (a half where there are none).
     """
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,10 +159,6 @@ def fit(texts: DataFrame, alpha: float = 1.0, strength: float = 1.0, least_texts
     rows, cols, counts = rows[used], cols[used], counts[used]
     weights, intercept = _logistic(rows, cols, ratio.astype(np.float32)[cols] * counts, labels, width, strength)
     weights *= ratio
-    # What the lighter n-grams add up to on average goes into the intercept.
-    light = np.argsort(-np.abs(weights) * np.sqrt(np.maximum(all_counts, 1)))[keep:]
-    intercept += float((weights[light] * all_counts[light]).sum() / len(labels))
-    weights[light] = 0
     return Model(weights.astype(np.float32), intercept)
 
 
