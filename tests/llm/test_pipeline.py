@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from shiftlake.llm import queries, toxicity
 from shiftlake.llm.staging import staged
-from tests.llm.test_operators import brute_distance, brute_print
+from tests.llm.test_near_copies import brute_kept
+from tests.llm.test_operators import brute_distance
 from tests.oracle_check import compare, connect
 
 SF = "/root/testdata/sf0.001"
@@ -31,18 +32,8 @@ def test_stages(spark):
     assert after["toxicity"] == left
     left = {max(d for d in left if rows[d] == rows[e]) for e in left}
     assert after["exact_dedup"] == left
-    prints = {d: brute_print(rows[d]) for d in left}
-    kept, open_ = set(), set(left)
-    while open_:
-        group, todo = set(), [min(open_)]
-        while todo:
-            d = todo.pop()
-            near = {e for e in open_ - group if bin(prints[d] ^ prints[e]).count("1") <= 3}
-            group |= near
-            todo += near
-        kept.add(min(group))
-        open_ -= group
-    assert after["near_dedup"] == kept
+    kept = {d for d, _ in brute_kept([(d, rows[d]) for d in sorted(left)])}
+    assert after["near_dedup"] == kept and len(kept) < len(left)
     items = [r.text.lower().split() for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     clean = {d for d in kept if not any(_holds(i, rows[d].lower().split()) for i in items)}
     assert after["decontamination"] == clean
@@ -86,4 +77,5 @@ def test_matches_sql(spark, name):
 def test_queries_are_registered():
     assert sorted(queries.REGISTRY, key=lambda n: int(n[2:].split("_")[0])) == [
         "op1_url_filter", "op2_substring_dedup", "op3_toxicity", "op4_quality", "op5_simhash", "op6_best_fit_packing",
-        "op7_html_text", "op8_decontamination", "op9_token_output", "op10_exact_dedup"]
+        "op7_html_text", "op8_decontamination", "op9_token_output", "op10_exact_dedup", "op11_spelling_variants",
+        "op12_warc_revisits", "op13_importance_resampling"]
