@@ -27,6 +27,14 @@ WORDS_AT_ONCE = 50_000
 _SENTINELS = "~^|}{"
 
 
+# Marks that the splitting pattern parts from letters and that no rule joins with them.
+_MARKS = ".,;:!?()\""
+#: Marks around letters that are kept as runs.
+MOST_MARKS = 32
+# How the vocabulary writes the end of a word.
+_WORD_END = "</w>"
+
+
 def _runs(tokenizer, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all words in turn, ids per word), from one call: a sentinel word stands between words."""
     line = " ".join(words)
@@ -50,8 +58,9 @@ class TextEncoder:
 
     The tokenizer drops white space and never joins across it, so the ids of a
     text are those of its words in turn; each distinct word is encoded once.
-    Words of plain Latin letters are one piece to the tokenizer's splitting
-    pattern and are unchanged by composition, so they skip both steps.
+    Plain Latin letters are one piece to the tokenizer's splitting pattern and
+    are unchanged by composition, so they skip both steps; points and brackets
+    around them are pieces of their own, worked out once each.
     """
 
     def __init__(self, path: str):
@@ -63,18 +72,62 @@ class TextEncoder:
         self._plain.normalizer = normalizers.Lowercase()
         self._plain.pre_tokenizer = pre_tokenizers.Sequence(
             [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-        self._words = WordTable(self._encode, limit=1_200_000)
+        vocabulary = self._tokenizer.get_vocab()
+        self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self._ends[[i for token, i in vocabulary.items() if token.endswith(_WORD_END)]] = True
+        self._marks: dict[str, int] = {"": 0}
+        self._mark_ids: list[list[int]] = [[]]
+        self._words = WordTable(self._encode, limit=400_000, dtype=np.int32)
 
     def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        plain = np.fromiter((w.isalpha() and max(w) < "\u0100" for w in words), bool, len(words))
-        sizes = np.zeros(len(words), np.int64)
-        parts = []
-        for tokenizer, chosen in ((self._plain, plain), (self._tokenizer, ~plain)):
-            some = [w for w, c in zip(words, chosen.tolist()) if c]
-            ids, sizes[chosen] = _runs(tokenizer, some) if some else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-            parts.append((ids, np.repeat(np.flatnonzero(chosen), sizes[chosen])))
-        owner = np.concatenate([at for _, at in parts])
-        return np.concatenate([ids for ids, _ in parts])[np.argsort(owner, kind="stable")], sizes
+        """Letters with points and brackets around them are encoded part by part, other words as a whole."""
+        if len(self._mark_ids) > 10_000:
+            self._marks, self._mark_ids = {"": 0}, [[]]
+        cores: list[str] = []
+        whole: list[str] = []
+        place = np.zeros((len(words), 3), np.int64)
+        for k, word in enumerate(words):
+            core = word.strip(_MARKS)
+            if not (core.isalpha() and max(core) < "\u0100" and len(word) - len(core) <= MOST_MARKS):
+                place[k, 1] = -1 - len(whole)
+                whole.append(word)
+                continue
+            place[k, 1] = len(cores)
+            cores.append(core)
+            if len(core) < len(word):
+                at = word.index(core)
+                place[k, 0], place[k, 2] = self._mark(word[:at]), self._mark(word[at + len(core):])
+        core_ids, core_sizes = self._letters(cores)
+        whole_ids, whole_sizes = _runs(self._tokenizer, whole) if whole else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        # All runs one after the other: marks, cores, whole words; a word takes one before, in and after its middle.
+        mark_sizes = np.fromiter(map(len, self._mark_ids), np.int64, len(self._mark_ids))
+        flat = np.concatenate([np.array([i for run in self._mark_ids for i in run], np.int64), core_ids, whole_ids])
+        size = np.concatenate([mark_sizes, core_sizes, whole_sizes])
+        start = np.cumsum(size) - size
+        middle = np.where(place[:, 1] >= 0, place[:, 1], len(cores) - 1 - place[:, 1]) + len(mark_sizes)
+        run = np.stack([place[:, 0], middle, place[:, 2]], 1)
+        part = size[run].reshape(-1)
+        shift = start[run].reshape(-1) - (np.cumsum(part) - part)
+        return flat[np.repeat(shift, part) + np.arange(int(part.sum()))], size[run].sum(1)
+
+    def _mark(self, text: str) -> int:
+        """Number of a run of marks; number 0 is no mark. Worked out once."""
+        number = self._marks.get(text)
+        if number is None:
+            number = self._marks[text] = len(self._mark_ids)
+            self._mark_ids.append(self._tokenizer.encode(text, add_special_tokens=False).ids)
+        return number
+
+    def _letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As ``_runs``, for words of plain letters: each ends with the one id that ends words."""
+        if not words:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        found, = self._plain.encode_batch_fast([" ".join(words)], add_special_tokens=False)
+        ids = np.array(found.ids, np.int64)
+        ends = np.flatnonzero(self._ends[ids])
+        if len(ends) != len(words):
+            return _runs(self._plain, words)
+        return ids, np.diff(ends, prepend=-1)
 
     def __call__(self, text: str | None) -> np.ndarray:
         return next(self.many([text]))

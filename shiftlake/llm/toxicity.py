@@ -63,7 +63,7 @@ def gram_table(weights: np.ndarray | None = None) -> WordTable:
         owner = np.repeat(np.arange(len(words)), sizes)[keep]
         return bucket[keep], np.bincount(owner, minlength=len(words))
 
-    return WordTable(expand)
+    return WordTable(expand, limit=200_000, dtype=np.int32)
 
 
 #: Entries that are worked on at once, which bounds the memory of a fit beside its sample.

@@ -24,29 +24,29 @@ class WordTable:
     """Maps a word to a run of integers that ``expand`` gives for it.
 
     ``limit`` bounds the memory: beyond it the cache starts anew, which never
-    changes a result.
+    changes a result. ``dtype`` is that of the integers kept.
     """
 
-    def __init__(self, expand: Callable[[list], tuple[np.ndarray, np.ndarray]], limit: int = 400_000):
-        self._expand, self._limit = expand, limit
+    def __init__(self, expand: Callable[[list], tuple[np.ndarray, np.ndarray]], limit: int = 400_000, dtype: type = np.int64):
+        self._expand, self._limit, self._dtype = expand, limit, dtype
         self._reset()
 
     def _reset(self):
         self._index = _Index()
-        self._flat = np.zeros(1 << 16, np.int64)
+        self._flat = np.zeros(1 << 16, self._dtype)
         self._used = 0
         self._start = np.zeros(1 << 14, np.int64)
-        self._size = np.zeros(1 << 14, np.int64)
+        self._size = np.zeros(1 << 14, np.int32)
 
     def _append(self, words: list, first: int):
         values, sizes = self._expand(words)
         need, last = self._used + len(values), first + len(words)
         if need > len(self._flat):
-            self._flat = np.concatenate([self._flat, np.zeros(max(need, len(self._flat)), np.int64)])
+            self._flat = np.concatenate([self._flat, np.zeros(max(need, len(self._flat)), self._dtype)])
         if last > len(self._size):
             room = max(last, len(self._size))
             self._start = np.concatenate([self._start, np.zeros(room, np.int64)])
-            self._size = np.concatenate([self._size, np.zeros(room, np.int64)])
+            self._size = np.concatenate([self._size, np.zeros(room, np.int32)])
         self._flat[self._used:need] = values
         self._size[first:last] = sizes
         self._start[first:last] = self._used + np.cumsum(sizes) - sizes
@@ -72,7 +72,7 @@ class WordTable:
         size = self._size[codes]
         total = int(size.sum())
         if not total:
-            return np.zeros(0, np.int64)
+            return np.zeros(0, self._dtype)
         shift = self._start[codes] - (np.cumsum(size) - size)
         return self._flat[np.repeat(shift, size) + np.arange(total)]
 
