@@ -195,29 +195,26 @@ SELECT eqpid, tubeid, step, step_name, CASE WHEN step_name = {NEXT} THEN 'Y' ELS
 FROM done
 """
 
-SQL["stream_keyed_load"] = f"""
-WITH {BASE},
-r AS (SELECT *, {row_key("(eqpid || '|' || puttime || '|' || tubeid)")} AS row_key FROM v)
-SELECT row_key, min({day_date('ts')}) AS day_date, min(eqpid) AS eqpid,
-  arg_max(CASE WHEN k % 10 = 0 THEN '9' ELSE {factory('site')} END, seq) AS factory, arg_max(runcount, seq) AS runcount,
-  arg_max('even', seq) FILTER (WHERE k % 2 = 0) AS note, arg_max(text1, seq) AS text1
-FROM r GROUP BY row_key
-"""
-
 LOADED = f"""
 {BASE},
 r AS (SELECT *, {row_key("(eqpid || '|' || puttime || '|' || tubeid)")} AS row_key FROM v)
 """
 
 
+LONG_TIME = "CAST(CAST(epoch(ts) AS BIGINT) - 28800 AS VARCHAR)"
+
+
 def loaded(order: str, more: str = "") -> str:
     """The loaded table: the last value of every column by ``order``."""
     return f"""row_key, min({day_date('ts')}) AS day_date, min(eqpid) AS eqpid,
   arg_max(CASE WHEN k % 10 = 0 THEN '9' ELSE {factory('site')} END, {order}) AS factory, arg_max(runcount, {order}) AS runcount,
-  arg_max('even', {order}) FILTER (WHERE k % 2 = 0) AS note, arg_max(text1, {order}) AS text1{more}"""
+  arg_max('even', {order}) FILTER (WHERE k % 2 = 0) AS note, arg_max(text1, {order}) AS text1,
+  min(tubeid) AS tubeid, min(puttime) AS puttime, min(site) AS site, min({shift('ts', 'site')}) AS shift,
+  min({LONG_TIME}) AS long_time, '2024-02-01 00:00:00' AS create_time{more}"""
 
 
 SQL["keyed_put"] = f"WITH {LOADED} SELECT {loaded('seq % 2 * 1000000000000 + seq')} FROM r GROUP BY row_key"
+SQL["stream_keyed_load"] = f"WITH {LOADED} SELECT {loaded('seq')} FROM r GROUP BY row_key"
 SQL["keyed_delete"] = f"""
 WITH {LOADED} SELECT {loaded('seq')} FROM r WHERE row_key NOT IN (SELECT row_key FROM r WHERE k % 5 = 0) GROUP BY row_key
 """
@@ -226,6 +223,29 @@ SQL["keyed_routed"] = f"""
 WITH {LOADED} SELECT {loaded('seq', f", {_target} AS target")} FROM r
 WHERE event_type IN ('view', 'click', 'purchase') GROUP BY row_key, {_target}
 """
+SQL["stream_keyed_routed"] = SQL["keyed_routed"]
+# Only times with dashes are read as the time of a record.
+SQL["stream_keyed_status"] = f"""
+WITH {BASE},
+r AS (SELECT *, {row_key("(eqpid || '|' || puttime || '|' || tubeid)")} AS row_key FROM f
+      WHERE k % 2 = 1 AND k <> 97 AND user_id % 17 <> 0)
+SELECT row_key, min({day_date('ts')}) AS day_date, min(eqpid) AS eqpid, min(tubeid) AS tubeid, min(puttime) AS newtime,
+  arg_max(event_type, seq) AS newstatus, 'IDLE' AS oldstatus, strftime(min(ts) - INTERVAL 600 SECOND, '%Y%m%d%H%M%S') AS oldtime,
+  min(site) AS site, min({factory('site')}) AS factory, min({shift('ts', 'site')}) AS shift, min({LONG_TIME}) AS long_time,
+  '2024-02-01 00:00:00' AS create_time
+FROM r GROUP BY row_key
+"""
+SQL["keyed_own_key"] = f"""
+WITH {BASE},
+s AS (SELECT *, eqpid || '|' || puttime || '|' || tubeid AS joined FROM v),
+r AS (SELECT *, {row_key('joined')} || '|' || left(sha256(concat_ws(chr(31), eqpid, puttime, runcount)), 5) AS row_key FROM s)
+SELECT row_key, min({day_date('ts')}) AS day_date,
+  '{{"eqpid":"' || min(eqpid) || '","puttime":"' || min(puttime) || '"}}' AS record, arg_max(k, seq) AS runcount
+FROM r GROUP BY row_key
+"""
+SQL["stream_topic_sink"] = f"""
+WITH {LOADED} SELECT seq, eqpid, puttime, text1, CASE WHEN k % 2 = 0 THEN 'even' END AS note, row_key FROM r
+"""
 
 # Benches, furnaces, boats ----------------------------------------------------
 
@@ -436,6 +456,9 @@ SELECT '2402010000' || replace(eqp_id, '-', '') || lpad(CAST(status AS VARCHAR),
   '2024-02-01 00:00:00' AS create_time
 FROM o
 """
+SQL["tester_clock_faults"] = f"""
+WITH {BASE} SELECT eqpid AS eqp_id, puttime AS ts, 'ahead' AS reason FROM f WHERE k < 97 AND ts > TIMESTAMP '2024-01-26 00:00:00'
+"""
 SQL["stream_window_alarm"] = f"""
 WITH {BASE},
 beat AS (SELECT eqpid AS eqp_id, date_trunc('hour', ts) AS w, ts FROM f WHERE k < 97)
@@ -719,3 +742,8 @@ SQL["script_insert"] = f"""
 WITH {BASE}, a AS (SELECT seq, eqpid, CASE WHEN k % 11 > 0 THEN k END AS code, 'S' || CAST(k % 4 AS VARCHAR) AS status FROM f WHERE k <> 97)
 SELECT eqpid, status, count(*) FILTER (WHERE code >= 50) AS n, max(seq) AS last_seq FROM a GROUP BY eqpid, status HAVING n > 0
 """
+SQL["csv_scan"] = """
+WITH o AS (SELECT CAST(o_orderkey AS VARCHAR) AS orderkey, o_orderstatus AS status,
+             CASE WHEN o_orderkey % 3 > 0 THEN o_orderpriority || ', it''s "so"' END AS note FROM orders)
+SELECT orderkey, status, note, count(note) OVER (PARTITION BY status) AS n FROM o
+"""

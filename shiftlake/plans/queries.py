@@ -15,6 +15,7 @@ from ..operators import (brackets, changes, counters, dedup, enrich, intervals,
                          modules, sequences, status, upsert, wide)
 from ..operators.steps import STEP_RULES
 from ..session import fresh_dir, prepare
+from ..sources.tables import csv_table, csv_view_ddl
 from . import feeds, jobs
 from .sqlscript import Setting, Statement, run_script
 
@@ -206,6 +207,16 @@ def silence_alarm(spark, sf_dir):
     return out
 
 
+# A clock that some of the given messages are ahead of.
+SLOW_CLOCK = "2024-01-25 00:00:00"
+
+
+@query
+def tester_clock_faults(spark, sf_dir):
+    out = jobs.tester_clock_faults(feeds.heartbeat_feed(events_of(spark, sf_dir)), F.lit(SLOW_CLOCK).cast("timestamp"))
+    return out.select("eqp_id", format_second(F.col("ts")).alias("ts"), "reason")
+
+
 @query
 def defect_threshold(spark, sf_dir):
     out = jobs.defect_alarms(feeds.defect_lines(events_of(spark, sf_dir)))
@@ -439,3 +450,17 @@ def script_insert(spark, sf_dir):
                   "(SELECT eqpid, status, max(seq) AS last_seq FROM alarms_${job.run} GROUP BY eqpid, status) a USING (eqpid, status)", 6),
     ], [Setting("job.root", "string", root), Setting("job.run", "string", root[-12:]), Setting("job.least", "int", " 50 "),
         Setting("spark.sql.variable.substitute", "boolean", "TRUE")])[-1]
+
+
+@query
+def csv_scan(spark, sf_dir):
+    """CSV files without header, written with a quote of their own: declared text columns, and a view of a script on the same files."""
+    path, columns = f"{fresh_dir(spark, 'csv')}/orders", ["orderkey", "status", "note"]
+    orders = feeds.table(spark, sf_dir, "orders")
+    orders.select("o_orderkey", "o_orderstatus", F.when(F.col("o_orderkey") % 3 > 0, F.concat_ws(", ", "o_orderpriority", F.lit("it's \"so\"")))) \
+        .write.option("quote", "'").csv(path)
+    csv_table(spark, path, columns, "'").createOrReplaceTempView("csv_rows")
+    return run_script(spark, [
+        Statement(csv_view_ddl("csv_view", path, columns, "'"), 1),
+        Statement("SELECT r.orderkey, r.status, r.note, v.n FROM csv_rows r JOIN "
+                  "(SELECT status, count(note) AS n FROM csv_view GROUP BY status) v USING (status)", 2)])[-1]

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import keys
 from ..functions.records import field
 from ..functions.text import format_second
 from ..operators import brackets, changes, heartbeat, lookup, measurements, sequences, wide
@@ -15,13 +16,14 @@ from ..operators.counters import counter_adds, counter_name
 from ..session import fresh_dir
 from ..sinks.changed import apply_changes, live_rows
 from ..sinks.keyed import DELETE, KeyedTable, columns_of_map, put_records, put_routed
+from ..sinks.topics import as_json, write_topic_files
 from ..sources.tables import DEVICE_REFRESH_SECONDS, Refreshing
 from ..sources.topics import json_view, map_batches, read_topic_folders, stream_table
 from ..streaming import builtin, carry, counting, processors
 from ..streaming.options import StreamOptions
 from ..streaming.runner import CommittedSinks, run_fan_out, run_job
 from . import feeds, jobs
-from .queries import BUY, FIXED_NOW, HALF, LOADER_MAPPING, STEP_OUT, TABLES, events_of, query
+from .queries import BUY, FIXED_NOW, HALF, LOADER_MAPPING, SLOW_CLOCK, STEP_OUT, TABLES, events_of, query
 from .sqlscript import Statement, run_script
 
 
@@ -82,28 +84,51 @@ def stream_step_intervals_by_shift(spark, sf_dir):
     return jobs.shift_labels(out).select(*STEP_OUT, "shift", "row_key", format_second(F.col("orig_start")).alias("orig_start"))
 
 
+# Columns of the loaded table: every entry of a record.
+LOADED = ["eqpid", "tubeid", "puttime", "text1", "runcount", "note", "site", "factory", "shift", "long_time", "create_time"]
+
+
+def _stored(feed: DataFrame, names: list[str], mapping: dict[str, str] | None = None, time_field: str = "puttime") -> DataFrame:
+    """Loaded records as rows of a keyed table."""
+    rows = jobs.load_records(feed, mapping, time_field, created=F.lit(FIXED_NOW))
+    return columns_of_map(rows.withColumn("row_key", field("row_key")).drop("event_type"), names=["day_date", *names])
+
+
+def _loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(feeds.loader_feed(events_of(spark, sf_dir)), LOADED, LOADER_MAPPING)
+
+
+def _through_table(stream: DataFrame, job, label: str, names: list[str]) -> DataFrame:
+    spark = stream.sparkSession
+    root = fresh_dir(spark, label)
+    table = KeyedTable(spark, f"{root}/table", partition="day_date")
+    run_job(stream, job, {"out": lambda df, n: table.put(df, ["ts", "seq"], n)}, StreamOptions(f"{root}/checkpoint")).start().awaitTermination()
+    return table.read(["row_key", "day_date", *names])
+
+
 @query
 def stream_keyed_load(spark, sf_dir):
-    root = fresh_dir(spark, "keyed-load")
-    table = KeyedTable(spark, f"{root}/table", partition="day_date")
+    return _through_table(event_stream(spark, sf_dir), lambda batch: _stored(feeds.loader_feed(batch), LOADED, LOADER_MAPPING),
+                          "keyed-load", LOADED)
 
-    def job(batch: DataFrame) -> DataFrame:
-        rows = jobs.load_records(feeds.loader_feed(batch), LOADER_MAPPING)
-        return columns_of_map(rows.withColumn("row_key", field("row_key")).drop("event_type"), names=["day_date", *LOADED])
 
-    run = run_job(event_stream(spark, sf_dir), job, {"out": lambda df, n: table.put(df, ["ts", "seq"], n)},
-                  StreamOptions(f"{root}/checkpoint")).start()
-    run.awaitTermination()
-    return table.read(["row_key", "day_date", *LOADED])
+STATUS = ["eqpid", "tubeid", "newtime", "newstatus", "oldstatus", "oldtime", "site", "factory", "shift", "long_time", "create_time"]
 
 
-# Columns of the loaded table: those that the query shows.
-LOADED = ["eqpid", "factory", "runcount", "note", "text1"]
+@query
+def stream_keyed_status(spark, sf_dir):
+    """Equipment status into a keyed table by the time of the new status, in three micro-batches."""
+    return _through_table(cut_stream(events_of(spark, sf_dir), "keyed-status"),
+                          lambda batch: _stored(feeds.status_feed(batch), STATUS, time_field="newtime"), "keyed-status", STATUS)
 
 
-def _loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = jobs.load_records(feeds.loader_feed(events_of(spark, sf_dir)), LOADER_MAPPING)
-    return columns_of_map(rows.withColumn("row_key", field("row_key")).drop("event_type"), names=["day_date", *LOADED])
+TARGETS = sorted({t for t in TABLES.values() if t.strip()})
+
+
+def _read_routed(spark: SparkSession, root: str) -> DataFrame:
+    read = [KeyedTable(spark, f"{root}/{t}", partition="day_date").read(["row_key", "day_date", *LOADED]).withColumn("target", F.lit(t))
+            for t in TARGETS]
+    return reduce(DataFrame.unionByName, read)
 
 
 @query
@@ -128,13 +153,61 @@ def keyed_delete(spark, sf_dir):
 @query
 def keyed_routed(spark, sf_dir):
     feed = feeds.loader_feed(events_of(spark, sf_dir)).withColumnRenamed("event_type", "topic")
-    rows = jobs.load_routed(feed, TABLES, LOADER_MAPPING)
     root = fresh_dir(spark, "keyed-routed")
-    targets = sorted({t for t in TABLES.values() if t.strip()})
-    put_routed(spark, root, rows, targets, names=["day_date", *LOADED])
-    read = [KeyedTable(spark, f"{root}/{t}", partition="day_date").read(["row_key", "day_date", *LOADED]).withColumn("target", F.lit(t))
-            for t in targets]
-    return reduce(DataFrame.unionByName, read)
+    put_routed(spark, root, jobs.load_routed(feed, TABLES, LOADER_MAPPING, created=F.lit(FIXED_NOW)), TARGETS, names=["day_date", *LOADED])
+    return _read_routed(spark, root)
+
+
+@query
+def stream_keyed_routed(spark, sf_dir):
+    """Topics of every micro-batch into their tables; the last batch is replayed."""
+    root = fresh_dir(spark, "stream-routed")
+    last = []
+
+    def route(batch: DataFrame, batch_id: int) -> None:
+        feed = feeds.loader_feed(batch).withColumnRenamed("event_type", "topic")
+        rows = jobs.load_routed(feed, TABLES, LOADER_MAPPING, created=F.lit(FIXED_NOW))
+        put_routed(spark, root, rows, TARGETS, batch_id=batch_id, names=["day_date", *LOADED])
+        last[:] = [batch_id]
+
+    StreamOptions(f"{root}/checkpoint").apply(cut_stream(events_of(spark, sf_dir), "stream-routed")).foreachBatch(
+        map_batches(route)).start().awaitTermination()
+    route(events_of(spark, sf_dir), last[0])
+    return _read_routed(spark, root)
+
+
+@query
+def keyed_own_key(spark, sf_dir):
+    """Records with a digest of three entries as key suffix, converted by a function of the caller on their way into the table."""
+    suffix = keys.content_suffix(field("eqpid"), field("puttime"), field("runcount"))
+    rows = jobs.load_records(feeds.loader_feed(events_of(spark, sf_dir)), LOADER_MAPPING, suffix=suffix)
+
+    def convert(records: DataFrame) -> DataFrame:
+        return records.select(field("row_key").alias("row_key"), field("day_date").alias("day_date"), "ts", "seq",
+                              F.to_json(F.map_filter("rec", lambda k, v: k.isin("eqpid", "puttime"))).alias("record"),
+                              field("runcount").cast("int").alias("runcount"))
+
+    table = KeyedTable(spark, f"{fresh_dir(spark, 'own-key')}/table", partition="day_date")
+    put_records(table, rows, convert, order=["ts", "seq"])
+    return table.read(["row_key", "day_date", "record", "runcount"])
+
+
+@query
+def stream_topic_sink(spark, sf_dir):
+    """Loaded records as JSON texts into the files of a topic, a folder per micro-batch, the first of them written again."""
+    root = fresh_dir(spark, "topic-sink")
+    stream = cut_stream(events_of(spark, sf_dir), "topic-sink")
+
+    def send(batch: DataFrame, batch_id: int) -> None:
+        rows = jobs.load_records(feeds.loader_feed(batch), LOADER_MAPPING)
+        out = as_json(rows.select("seq", *[field(n).alias(n) for n in ("eqpid", "puttime", "text1", "note", "row_key")]))
+        for _ in range(2 if batch_id == 0 else 1):
+            write_topic_files(out, root, "loaded", batch_id)
+
+    StreamOptions(f"{root}/checkpoint").apply(stream).foreachBatch(map_batches(send)).start().awaitTermination()
+    sent = spark.read.text(f"{root}/loaded").select(F.from_json(
+        "value", "seq long, eqpid string, puttime string, text1 string, note string, row_key string").alias("r"))
+    return sent.select("r.*")
 
 
 @query
@@ -299,10 +372,6 @@ def stream_fan_out(spark, sf_dir):
     return reduce(DataFrame.unionByName, [sinks.read(n).select(F.lit(n).alias("target"), "seq", "detail") for n in ("loaded", "rejected")])
 
 
-# A clock that some of the given events are ahead of.
-SLOW_CLOCK = "2024-01-25 00:00:00"
-
-
 @query
 def stream_late_rows(spark, sf_dir):
     """Two files, the younger half first: the older half is late, and what lies a day past the clock is ahead."""

@@ -8,6 +8,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.codes import quoted
 from ..sinks.jdbc import JdbcTarget
 
 log = logging.getLogger(__name__)
@@ -35,12 +36,12 @@ def csv_table(spark: SparkSession, path: str, columns: Sequence[str], quote: str
 def csv_view_ddl(name: str, path: str, columns: Sequence[str], quote: str = '"') -> str:
     """The same as a statement for an SQL script."""
     fields = ", ".join(f"`{c}` STRING" for c in columns)
-    return f"CREATE OR REPLACE TEMPORARY VIEW {name} ({fields}) USING csv OPTIONS (path '{path}', quote '{quote}')"
+    return f"CREATE OR REPLACE TEMPORARY VIEW {name} ({fields}) USING csv OPTIONS (path {quoted(path)}, quote {quoted(quote)})"
 
 
 def jdbc_view_ddl(name: str, target: JdbcTarget, table: str) -> str:
     """JDBC table as a view, so that a script can read it or INSERT INTO it."""
-    options = ", ".join(f"{k} '{v}'" for k, v in {**target.options(), "dbtable": table}.items())
+    options = ", ".join(f"{k} {quoted(v)}" for k, v in {**target.options(), "dbtable": table}.items())
     return f"CREATE OR REPLACE TEMPORARY VIEW {name} USING jdbc OPTIONS ({options})"
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shiftlake.functions.keys import content_suffix
 from shiftlake.functions.records import field
-from shiftlake.operators import changes
+from shiftlake.operators import changes, wide
 from shiftlake.plans import jobs
 
 
@@ -194,3 +194,13 @@ def test_extra_step_rule(spark):
     pe = {**line, "eqpid": "Z2-PE01", "_text1_": "the end of process is near"}
     assert jobs.step_feed(feed(spark, pe)).first().step == "CHANGE"
     assert jobs.step_feed(feed(spark, {**pe, "eqpid": "Z2-PR01"}, {**pe, "eqpid": "Z2-PR01", "_text1_": "End of process"})).count() == 0
+
+
+def test_tester_lines_of_odd_shapes(spark):
+    inner = '{"eqp_id":"Z2-CT01","TestDate":"05-01-2024","TestTime":"10:00:07","Uoc":"7"}'
+    quoted = inner.replace('"', '\\"')
+    lines = [f'{{"data":{inner}}}', f'{{"data":"{quoted}"}}', '{"data":{}}', '{"data":null}', '{"data":[1]}', '{"data":"x"}', "", None, '{"data":',
+             '{"data":{"Uoc":"8"}}', '{"other":1}']
+    feed = spark.createDataFrame(list(enumerate(lines)), "seq long, value string")
+    got = {r.seq: (r.eqp_id, r.begin_time, r.uoc) for r in wide.parse_tester(feed).collect()}
+    assert got == {0: ("Z2-CT01", "2024-01-05 10:00:07", "7"), 1: ("Z2-CT01", "2024-01-05 10:00:07", "7"), 9: ("", "1970-01-01 00:00:00", "8")}

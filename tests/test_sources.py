@@ -116,3 +116,11 @@ def test_dimension_is_tried_again_while_there_is_none(spark):
     with pytest.raises(RuntimeError):
         dim.get()
     assert dim.get().count() == 2
+
+
+def test_view_statements_quote_their_options(spark, tmp_path):
+    path = tmp_path / "it's"
+    path.mkdir()
+    (path / "a.csv").write_text("'x, y',\"z\n")
+    spark.sql(tables.csv_view_ddl("odd_csv", str(path), ["a", "b"], "'"))
+    assert [tuple(r) for r in spark.table("odd_csv").collect()] == [("x, y", '"z')]
