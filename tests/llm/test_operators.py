@@ -387,8 +387,14 @@ def test_shared_words_and_copied_texts_stay():
     foot = "Printed by all of us for every one of you with great care and joy"
     pages = [html_text.blocks_of(page(f"<p>{text}</p><h2>News</h2><div>{foot}</div>")) for text in texts]
     assert html_text.main_texts(pages) == texts
-    same = [html_text.blocks_of(page(f"<p>{texts[0]}</p><p>{foot}</p><p>On day {k}</p>")) for k in range(4)]
-    assert [texts[0] in text for text in html_text.main_texts(same)] == [True, False, False, False]
+
+
+def test_notices_go_from_all_pages_and_copied_stories_stay():
+    notice, story = " ".join(f"n{i}" for i in range(40)), " ".join(f"s{i}" for i in range(80))
+    own = [f"<p>{' '.join(f'w{k}x{i}' for i in range(15))}</p>" for k in range(10)]
+    pages = [html_text.blocks_of(page(own[k], f"<p>{story}</p>" if k < 3 else "", f"<div>{notice}</div>")) for k in range(10)]
+    assert html_text.main_texts(pages) == [f"{own[k][3:-4]}" + (f"\n{story}" if k < 3 else "") for k in range(10)]
+    assert html_text.main_texts(pages[3:5]) == [own[k][3:-4] for k in (3, 4)]
 
 
 @pytest.mark.parametrize("inside,text", [
@@ -403,25 +409,63 @@ def test_shared_words_and_copied_texts_stay():
     ("<h1>Head</h1><p>Lead</p><article>Body</article>", "Head\nLead\nBody"),
     ("<article>Body<div class='comment-list'>Me</div></article>", "Body"),
     ("<div class='main-nav'>Go</div><p>Body</p>", "Body"),
+    *[(f"<article>Body<div {c}>Me</div></article>", "Body") for c in (
+        "class='user-comments'", "class='reader-comments'", "class='comment-thread'", "class='post-comment'", "class='related-posts'",
+        "class='social-share-buttons'", "class='advert-300x250'", "id='respond'", "style='color:red; display: none'")],
+    ("<article>Let <math><mi>x</mi></math> be <svg><title>t</title><text>drawn</text></svg> <object>so</object></article>", "Let x be drawn so"),
 ])
 def test_markup_keeps_the_text(inside, text):
     assert html_text.main_texts([html_text.blocks_of(page(inside))]) == [text]
 
 
-def test_repeated_words_against_brute_force():
+def brute_main_texts(pages, least):
+    """Texts of pages of one host, by comparing every window of words with every page."""
+    def windows(words):
+        return [tuple(words[k:k + least]) for k in range(max(1, len(words) - least + 1))]
+
+    open_ = [[t.split(" ") for z, t in blocks if z == "open"] for blocks in pages]
+    on = {}
+    for p, blocks in enumerate(open_):
+        for words in blocks:
+            for w in windows(words):
+                on.setdefault(w, set()).add(p)
+    texts = []
+    for blocks in pages:
+        kept, every = [], []
+        for zone, text in blocks:
+            if zone == "chrome":
+                continue
+            every.append(text)
+            words = text.split(" ")
+            gone = set()
+            for k, w in enumerate(windows(words) if zone == "open" else ()):
+                if len(on[w]) >= 2 and 2 * len(on[w]) > len(pages):
+                    gone |= set(range(k, k + len(w)))
+            kept += [" ".join(w for k, w in enumerate(words) if k not in gone)] if len(gone) < len(words) else []
+        texts.append("\n".join(kept or every))
+    return texts
+
+
+@pytest.mark.parametrize("part_words", [30, 500_000])
+def test_extract_against_brute_force(spark, part_words):
     rng = random.Random(3)
-    pages = [[rng.choices("abc", k=rng.randint(1, 12)) for _ in range(rng.randint(0, 3))] for _ in range(8)]
-    got = html_text.repeated_words(pages, 4)
-    for p, blocks in enumerate(pages):
-        for b, words in enumerate(blocks):
-            want = [False] * len(words)
-            others = [o for q, bs in enumerate(pages) if q != p for o in bs]
-            if len(words) < 4:
-                want = [words in others] * len(words)
-            for i in range(len(words) - 3):
-                if any(words[i:i + 4] == o[j:j + 4] for o in others for j in range(len(o) - 3)):
-                    want[i:i + 4] = [True] * 4
-            assert got[p][b].tolist() == want
+    rows, want = [], {}
+    for host, n in (("two", 2), ("three", 3), ("some", 40), ("many", 300)):
+        common = [" ".join(rng.choices("abcd", k=rng.randint(1, 30))) for _ in range(4)]
+        htmls = set()
+        while len(htmls) < n:
+            own = [" ".join(rng.choices("abcdefgh", k=rng.randint(1, 12))) for _ in range(rng.randint(0, 2))]
+            blocks = own + [c for c in common if rng.random() < 0.6]
+            rng.shuffle(blocks)
+            htmls.add(page(*[f"<p>{b}</p>" for b in blocks], f"<article>a {len(htmls)}</article>" if rng.random() < 0.3 else ""))
+        htmls = sorted(htmls)
+        for html, text in zip(htmls, brute_main_texts([html_text.blocks_of(h) for h in htmls], 4)):
+            for _ in range(1 + 5 * (html == htmls[0])):
+                want[len(rows)] = text
+                rows.append((len(rows), f"http://{host}.org/{len(rows)}", html))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_text.extract(pages, 4, part_words).collect()}
+    assert got == want
 
 
 def test_extract(spark):
