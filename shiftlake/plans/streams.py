@@ -31,23 +31,34 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_table(spark, f"{sf_dir}/events.parquet")
 
 
-def cut_stream(df: DataFrame, label: str, parts: int = 3, jitter_seconds: int = 0, ts: str = "ts", seq: str = "event_id") -> DataFrame:
-    """The rows of ``df`` as a stream of ``parts`` files, a micro-batch each.
+#: Rows of a file of a cut stream; a micro-batch of more is several files, so that several tasks write and read it.
+FILE_ROWS = 50_000
 
-    Files follow one another in time; a row may come up to ``jitter_seconds``
+
+def cut_stream(df: DataFrame, label: str, parts: int = 3, jitter_seconds: int = 0, ts: str = "ts", seq: str = "event_id",
+               file_rows: int = FILE_ROWS) -> DataFrame:
+    """The rows of ``df`` as a stream of ``parts`` micro-batches, each of equally many files.
+
+    Micro-batches follow one another in time; a row may come up to ``jitter_seconds``
     too late for its place.
     """
     spark = df.sparkSession
     folder = f"{fresh_dir(spark, label)}/in"
     late = F.pmod(F.xxhash64(seq), F.lit(jitter_seconds)) if jitter_seconds else F.lit(0)
     at = F.unix_timestamp(F.col(ts).cast("timestamp"))
-    first, last = df.agg(F.min(at), F.max(at)).first()
+    first, last, rows = df.agg(F.min(at), F.max(at), F.count("*")).first()
     span = max(1, last - first + 1) if first is not None else 1
     part = F.least(F.floor((at + late - F.lit(first)) * parts / span), F.lit(parts - 1))
+    files = max(1, -(-rows // (parts * file_rows)))
     for k in range(parts):
         # One after the other, as a stream of files takes them by age.
-        df.where(F.coalesce(part, F.lit(0)) == k).coalesce(1).write.mode("append").parquet(folder)
-    return stream_table(spark, folder, df.schema, max_files=1)
+        of_part = df.where(F.coalesce(part, F.lit(0)) == k)
+        of_part = of_part.coalesce(1) if files == 1 else of_part.repartition(files)
+        of_part.write.mode("append").parquet(folder)
+        # A task without rows writes no file: empty ones fill up the micro-batch, or it would take some of the next.
+        for _ in range(files * (k + 1) - len(spark.read.schema(df.schema).parquet(folder).inputFiles())):
+            df.limit(0).coalesce(1).write.mode("append").parquet(folder)
+    return stream_table(spark, folder, df.schema, max_files=files)
 
 
 def to_table(stream: DataFrame, label: str, single_batch: bool = False) -> DataFrame:
