@@ -5,6 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from shiftlake.plans.streams import cut_stream
+from shiftlake.session import prepare
 from shiftlake.streaming.options import StreamOptions
 
 
@@ -23,3 +24,8 @@ def test_cut_stream_spreads_a_micro_batch(spark, tmp_path):
     StreamOptions(str(tmp_path / "checkpoint")).apply(stream).foreachBatch(keep).start().awaitTermination()
     assert [ids for _, ids in seen.values()] == [[*range(100)], [], [], [100, 101, 102]]
     assert seen[0][0] > 1
+
+
+def test_wide_rows_run_in_compiled_code(spark):
+    """Methods over 8,000 bytes of bytecode run interpreted for ever; a prepared session does not let Spark make any."""
+    assert int(prepare(spark).conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
