@@ -7,6 +7,8 @@ import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from shiftlake.llm.wordtable import WordTable
 
@@ -20,20 +22,55 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-#: Words that are looked up in one go.
-WORDS_AT_ONCE = 50_000
+#: Characters of texts whose words are looked up in one go.
+CHARS_AT_ONCE = 1 << 22
+#: Texts that are held for it, however short.
+TEXTS_AT_ONCE = 20_000
 
 # Single characters that no other character normalises to; one that is absent from the words parts them.
 _SENTINELS = "~^|}{"
-
-
-# Marks that the splitting pattern parts from letters and that no rule joins with them.
-_MARKS = ".,;:!?()\""
-#: Marks around letters that are kept as runs.
-MOST_MARKS = 32
 # How the vocabulary writes the end of a word.
 _WORD_END = "</w>"
 
+# Kinds of characters: the splitting pattern makes runs of letters, runs of marks and single digits pieces of their own.
+# No rule joins these marks with letters, as it does the apostrophe, and no special token holds one.
+_SPACE, _LETTER, _MARK, _DIGIT, _OTHER = range(5)
+_MARKS = "!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
+
+
+def _kinds() -> np.ndarray:
+    """The kind of each code point of Latin-1; the last entry is for all others."""
+    kinds = np.full(257, _OTHER, np.int8)
+    for code in range(256):
+        char = chr(code)
+        if char.isalpha():
+            kinds[code] = _LETTER
+        elif char in _MARKS:
+            kinds[code] = _MARK
+        elif char in "0123456789":
+            kinds[code] = _DIGIT
+    kinds[ord(" ")] = _SPACE
+    return kinds
+
+
+_KINDS = _kinds()
+
+
+def _pieces(words: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(pieces of the plain words in turn, in lower case; pieces per word; which words have other characters)."""
+    codes = np.frombuffer(" ".join(words).encode("utf-32-le"), np.uint32)
+    kinds = _KINDS[np.minimum(codes, 256)]
+    owner = np.cumsum(kinds == _SPACE)
+    odd = np.zeros(len(words), bool)
+    odd[owner[kinds == _OTHER]] = True
+    plain = ~odd[owner]
+    codes, kinds, owner = codes[plain], kinds[plain], owner[plain]
+    begins = np.ones(len(kinds), bool)
+    begins[1:] = (kinds[1:] != kinds[:-1]) | (kinds[1:] == _DIGIT)
+    begins = np.flatnonzero(begins & (kinds != _SPACE))
+    parted = np.insert(codes, begins, ord(" ")).tobytes().decode("utf-32-le")
+    return parted.lower().split(), np.bincount(owner[begins], minlength=len(words)), odd
+
 
 def _runs(tokenizer, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all words in turn, ids per word), from one call: a sentinel word stands between words."""
@@ -57,104 +94,90 @@ class TextEncoder:
     """Encodes texts word by word with the ``tokenizers`` library.
 
     The tokenizer drops white space and never joins across it, so the ids of a
-    text are those of its words in turn; each distinct word is encoded once.
-    Plain Latin letters are one piece to the tokenizer's splitting pattern and
-    are unchanged by composition, so they skip both steps; points and brackets
-    around them are pieces of their own, worked out once each.
+    text are those of its words in turn; each distinct word of many texts is
+    looked at once. Plain Latin letters, marks and digits are pieces that the
+    tokenizer's splitting pattern parts and composition leaves as they are, so
+    they skip both steps and each distinct piece is encoded once. Other words
+    are encoded as a whole.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self._tokenizer = Tokenizer.from_file(path)
+        # Takes pieces in lower case, their bytes as the vocabulary writes them.
         self._plain = Tokenizer.from_file(path)
-        self._plain.normalizer = normalizers.Lowercase()
-        self._plain.pre_tokenizer = pre_tokenizers.Sequence(
-            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self._plain.normalizer = None
+        self._plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        written = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self._bytes = np.arange(256, dtype=np.uint32)
+        for code in range(0x80, 0x100):
+            char = chr(code)
+            (text, _), = written.pre_tokenize_str(char)
+            self._bytes[list(char.encode())] = list(map(ord, text))
         vocabulary = self._tokenizer.get_vocab()
         self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self._ends[[i for token, i in vocabulary.items() if token.endswith(_WORD_END)]] = True
-        self._marks: dict[str, int] = {"": 0}
-        self._mark_ids: list[list[int]] = [[]]
-        self._words = WordTable(self._encode, limit=400_000, dtype=np.int32)
-
-    def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Letters with points and brackets around them are encoded part by part, other words as a whole."""
-        if len(self._mark_ids) > 10_000:
-            self._marks, self._mark_ids = {"": 0}, [[]]
-        cores: list[str] = []
-        whole: list[str] = []
-        place = np.zeros((len(words), 3), np.int64)
-        for k, word in enumerate(words):
-            core = word.strip(_MARKS)
-            if not (core.isalpha() and max(core) < "\u0100" and len(word) - len(core) <= MOST_MARKS):
-                place[k, 1] = -1 - len(whole)
-                whole.append(word)
-                continue
-            place[k, 1] = len(cores)
-            cores.append(core)
-            if len(core) < len(word):
-                at = word.index(core)
-                place[k, 0], place[k, 2] = self._mark(word[:at]), self._mark(word[at + len(core):])
-        core_ids, core_sizes = self._letters(cores)
-        whole_ids, whole_sizes = _runs(self._tokenizer, whole) if whole else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-        # All runs one after the other: marks, cores, whole words; a word takes one before, in and after its middle.
-        mark_sizes = np.fromiter(map(len, self._mark_ids), np.int64, len(self._mark_ids))
-        flat = np.concatenate([np.array([i for run in self._mark_ids for i in run], np.int64), core_ids, whole_ids])
-        size = np.concatenate([mark_sizes, core_sizes, whole_sizes])
-        start = np.cumsum(size) - size
-        middle = np.where(place[:, 1] >= 0, place[:, 1], len(cores) - 1 - place[:, 1]) + len(mark_sizes)
-        run = np.stack([place[:, 0], middle, place[:, 2]], 1)
-        part = size[run].reshape(-1)
-        shift = start[run].reshape(-1) - (np.cumsum(part) - part)
-        return flat[np.repeat(shift, part) + np.arange(int(part.sum()))], size[run].sum(1)
-
-    def _mark(self, text: str) -> int:
-        """Number of a run of marks; number 0 is no mark. Worked out once."""
-        number = self._marks.get(text)
-        if number is None:
-            number = self._marks[text] = len(self._mark_ids)
-            self._mark_ids.append(self._tokenizer.encode(text, add_special_tokens=False).ids)
-        return number
-
-    def _letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """As ``_runs``, for words of plain letters: each ends with the one id that ends words."""
-        if not words:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        found, = self._plain.encode_batch_fast([" ".join(words)], add_special_tokens=False)
+        self._known = WordTable(self._encode, limit=400_000, dtype=np.int32)
+        self._odd = WordTable(lambda words: _runs(self._tokenizer, words), limit=100_000, dtype=np.int32)
+
+    def _encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As ``_runs``, for pieces of plain characters: each ends with the one id that ends words."""
+        line = self._bytes[np.frombuffer(" ".join(pieces).encode(), np.uint8)].tobytes().decode("utf-32-le")
+        found, = self._plain.encode_batch_fast([line], add_special_tokens=False)
         ids = np.array(found.ids, np.int64)
         ends = np.flatnonzero(self._ends[ids])
-        if len(ends) != len(words):
-            return _runs(self._plain, words)
+        if len(ends) != len(pieces):
+            return _runs(self._plain, line.split(" "))
         return ids, np.diff(ends, prepend=-1)
 
+    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, where those of each word start, how many they are)."""
+        pieces, n_pieces, odd = _pieces(words)
+        codes = self._known.codes(pieces)
+        ids, ends = self._known.runs(codes), np.concatenate([[0], np.cumsum(self._known.sizes(codes), dtype=np.int64)])
+        last = np.cumsum(n_pieces)
+        start, size = ends[last - n_pieces], ends[last] - ends[last - n_pieces]
+        if odd.any():
+            codes = self._odd.codes([words[k] for k in np.flatnonzero(odd).tolist()])
+            size[odd] = self._odd.sizes(codes)
+            start[odd] = len(ids) + np.cumsum(size[odd]) - size[odd]
+            ids = np.concatenate([ids, self._odd.runs(codes)])
+        return ids, start, size
+
     def __call__(self, text: str | None) -> np.ndarray:
         return next(self.many([text]))
 
     def many(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
         """Ids of each text; several texts are looked up together."""
-        held: list[tuple[list[str], np.ndarray | None]] = []
-        words = 0
+        held: list[tuple[str, np.ndarray | None]] = []
+        chars = 0
         for text in texts:
-            whole = None
             if text and _SEPARATORS.search(text):
-                whole = np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, np.int64)
-            held.append(([] if whole is not None else (text or "").split(), whole))
-            words += len(held[-1][0])
-            if words >= WORDS_AT_ONCE:
+                held.append(("", np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, np.int32)))
+            else:
+                held.append((text or "", None))
+            chars += len(text or "")
+            if chars >= CHARS_AT_ONCE or len(held) >= TEXTS_AT_ONCE:
                 yield from self._settled(held)
-                held, words = [], 0
+                held, chars = [], 0
         yield from self._settled(held)
 
-    def _settled(self, held: list[tuple[list[str], np.ndarray | None]]) -> Iterator[np.ndarray]:
-        codes = self._words.codes([w for words, _ in held for w in words])
-        ids, size = self._words.runs(codes), self._words.sizes(codes)
-        ends = np.concatenate([[0], np.cumsum(size)])[np.cumsum([len(words) for words, _ in held])] if held else []
-        start = 0
-        for (_, whole), end in zip(held, ends):
-            yield ids[start:end] if whole is None else whole
-            start = end
+    def _settled(self, held: list[tuple[str, np.ndarray | None]]) -> Iterator[np.ndarray]:
+        if not held:
+            return
+        # Arrow and Python agree on what white space is; at the ends of a text Arrow finds an empty word.
+        parts = pc.utf8_split_whitespace(pa.array([text for text, _ in held], pa.large_string()))
+        found = parts.values.dictionary_encode()
+        ids, start, size = self._words(found.dictionary.to_pylist())
+        words = found.indices.to_numpy()
+        size = size[words]
+        end = np.cumsum(size)
+        ids = ids[np.repeat(start[words] - (end - size), size) + np.arange(int(size.sum()))]
+        ends = np.concatenate([[0], end])[parts.offsets.to_numpy()].tolist()
+        for (_, whole), first, last in zip(held, ends, ends[1:]):
+            yield ids[first:last] if whole is None else whole
 
 
 class EncoderHandle:

@@ -98,6 +98,30 @@ def test_encoder_equals_whole_text(encode_whole):
         assert encode(text).tolist() == encode_whole(text), text
 
 
+class Counting:
+    """A tokenizer that counts the words it is given."""
+
+    def __init__(self, tokenizer):
+        self._tokenizer, self.words = tokenizer, 0
+
+    def encode(self, text, **options):
+        self.words += len(text.split())
+        return self._tokenizer.encode(text, **options)
+
+    def encode_batch_fast(self, texts, **options):
+        self.words += sum(len(text.split()) for text in texts)
+        return self._tokenizer.encode_batch_fast(texts, **options)
+
+
+def test_encoder_works_out_a_piece_once(encode_whole):
+    encode = TextEncoder(default_tokenizer())
+    encode._tokenizer, encode._plain = Counting(encode._tokenizer), Counting(encode._plain)
+    forms = [before + word + after for word in ("word", "Word", "WORD", "çà", "Çà") for before in ("", "(", '"') for after in ("", ",", "!!", "-Word", "***", "7")]
+    texts = [" ".join(forms), *forms, None, ""]
+    assert [ids.tolist() for ids in encode.many(texts)] == [encode_whole(text) for text in texts]
+    assert encode._tokenizer.words + encode._plain.words <= len({"word", "çà", "(", '"', ",", "!!", "-", "***", "7"})
+
+
 def test_pack(odd, none, encode_whole):
     pieces, placed = packing.pack(odd, max_tokens=64)
     rows = placed.collect()
