@@ -121,8 +121,13 @@ def near_pairs(words: DataFrame, index_words: int = INDEX_WORDS, bundle_rows: in
     bundles = max(1, -(-rows // bundle_rows))
     met = met.withColumn("bundle", F.pmod(F.xxhash64("half", "block"), F.lit(bundles)).cast("int"))
     found = met.groupBy("bundle").applyInArrow(_search_bundle, "word string, n long, near string, near_n long")
-    turned = found.select(F.col("near").alias("word"), F.col("near_n").alias("n"), F.col("word").alias("near"), F.col("n").alias("near_n"))
-    return found.unionByName(turned).dropDuplicates(["word", "near"])
+    # The search runs once: a pair is kept in one order, whichever of its words found the other, and only then turned.
+    word, near = F.struct("word", "n"), F.struct(F.col("near").alias("word"), F.col("near_n").alias("n"))
+    found = found.select(F.least(word, near).alias("a"), F.greatest(word, near).alias("b")).select(
+        F.col("a.word").alias("word"), F.col("a.n").alias("n"), F.col("b.word").alias("near"), F.col("b.n").alias("near_n")).distinct()
+    orders = F.array(F.struct("word", "n", "near", "near_n"),
+                     F.struct(F.col("near").alias("word"), F.col("near_n").alias("n"), F.col("word").alias("near"), F.col("n").alias("near_n")))
+    return found.select(F.inline(orders))
 
 
 def follow(forms: DataFrame) -> DataFrame:

@@ -103,6 +103,15 @@ def test_near_pairs_in_blocks(spark, index_words, bundle_rows):
     assert found == {(a, b) for a in words for b in words if a != b and one_error(a, b)}
 
 
+def test_near_pairs_searches_once(spark, capsys):
+    words = ["stepping", "steppings", "stepxing", "lanternes", "lanternas"]
+    pairs = spelling.near_pairs(spark.createDataFrame([(w, k + 2) for k, w in enumerate(words)], "word string, n long"))
+    pairs.explain()
+    assert capsys.readouterr().out.count("FlatMapGroupsInArrow") == 1
+    want = [(a, i + 2, b, j + 2) for i, a in enumerate(words) for j, b in enumerate(words) if a != b and one_error(a, b)]
+    assert sorted((r.word, r.n, r.near, r.near_n) for r in pairs.collect()) == sorted(want)
+
+
 def test_variants(spark, none):  # noqa: F811
     rows = odd_rows() + chained_rows()
     found = spelling.variants(make_docs(spark, rows)).collect()
