@@ -23,7 +23,7 @@ def default_tokenizer() -> str:
 
 
 #: Characters of texts whose words are looked up in one go.
-CHARS_AT_ONCE = 1 << 22
+CHARS_AT_ONCE = 1 << 21
 #: Texts that are held for it, however short.
 TEXTS_AT_ONCE = 20_000
 
@@ -54,22 +54,36 @@ def _kinds() -> np.ndarray:
 
 
 _KINDS = _kinds()
+# Letters of Latin-1 stay in it, one for one.
+_LOWER = np.array([ord(chr(code).lower()) for code in range(256)], np.uint32)
 
 
-def _pieces(words: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+def _distinct(words: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """(the distinct words, which of them each word is)"""
+    found = words.dictionary_encode()
+    return found.dictionary, found.indices.to_numpy()
+
+
+def _pieces(words: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """(pieces of the plain words in turn, in lower case; pieces per word; which words have other characters)."""
-    codes = np.frombuffer(" ".join(words).encode("utf-32-le"), np.uint32)
+    line, = pc.binary_join(pa.ListArray.from_arrays([0, len(words)], words), pa.scalar(" ", pa.large_string())).to_pylist()
+    codes = np.frombuffer(line.encode("utf-32-le"), np.uint32)
     kinds = _KINDS[np.minimum(codes, 256)]
     owner = np.cumsum(kinds == _SPACE)
     odd = np.zeros(len(words), bool)
     odd[owner[kinds == _OTHER]] = True
     plain = ~odd[owner]
     codes, kinds, owner = codes[plain], kinds[plain], owner[plain]
+    shown = kinds != _SPACE
+    codes, kinds, owner = _LOWER[codes[shown]], kinds[shown], owner[shown]
     begins = np.ones(len(kinds), bool)
-    begins[1:] = (kinds[1:] != kinds[:-1]) | (kinds[1:] == _DIGIT)
-    begins = np.flatnonzero(begins & (kinds != _SPACE))
-    parted = np.insert(codes, begins, ord(" ")).tobytes().decode("utf-32-le")
-    return parted.lower().split(), np.bincount(owner[begins], minlength=len(words)), odd
+    begins[1:] = (kinds[1:] != kinds[:-1]) | (kinds[1:] == _DIGIT) | (owner[1:] != owner[:-1])
+    begins = np.flatnonzero(begins)
+    counts = np.bincount(owner[begins], minlength=len(words))
+    if not len(begins):
+        return pa.array([], pa.large_string()), counts, odd
+    parted = np.insert(codes, begins[1:], ord(" ")).tobytes().decode("utf-32-le")
+    return pc.split_pattern(pa.array([parted], pa.large_string()), " ").values, counts, odd
 
 
 def _runs(tokenizer, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -132,15 +146,16 @@ class TextEncoder:
             return _runs(self._plain, line.split(" "))
         return ids, np.diff(ends, prepend=-1)
 
-    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids, where those of each word start, how many they are)."""
         pieces, n_pieces, odd = _pieces(words)
-        codes = self._known.codes(pieces)
+        pieces, which = _distinct(pieces)
+        codes = self._known.codes(pieces.to_numpy(zero_copy_only=False).tolist())[which]
         ids, ends = self._known.runs(codes), np.concatenate([[0], np.cumsum(self._known.sizes(codes), dtype=np.int64)])
         last = np.cumsum(n_pieces)
         start, size = ends[last - n_pieces], ends[last] - ends[last - n_pieces]
         if odd.any():
-            codes = self._odd.codes([words[k] for k in np.flatnonzero(odd).tolist()])
+            codes = self._odd.codes(words.filter(pa.array(odd)).to_pylist())
             size[odd] = self._odd.sizes(codes)
             start[odd] = len(ids) + np.cumsum(size[odd]) - size[odd]
             ids = np.concatenate([ids, self._odd.runs(codes)])
@@ -169,12 +184,11 @@ class TextEncoder:
             return
         # Arrow and Python agree on what white space is; at the ends of a text Arrow finds an empty word.
         parts = pc.utf8_split_whitespace(pa.array([text for text, _ in held], pa.large_string()))
-        found = parts.values.dictionary_encode()
-        ids, start, size = self._words(found.dictionary.to_pylist())
-        words = found.indices.to_numpy()
-        size = size[words]
+        words, which = _distinct(parts.values)
+        ids, start, size = self._words(words)
+        start, size = start[which], size[which]
         end = np.cumsum(size)
-        ids = ids[np.repeat(start[words] - (end - size), size) + np.arange(int(size.sum()))]
+        ids = ids[np.repeat(start - (end - size), size) + np.arange(int(size.sum()))]
         ends = np.concatenate([[0], end])[parts.offsets.to_numpy()].tolist()
         for (_, whole), first, last in zip(held, ends, ends[1:]):
             yield ids[first:last] if whole is None else whole
