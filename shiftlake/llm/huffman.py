@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -58,14 +59,19 @@ def code_lengths(counts: np.ndarray, max_bits: int = MAX_BITS) -> np.ndarray:
     return lengths
 
 
+def _in_order(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """(ids in order of (length, id), how many patterns of the longest code's length begin with the code of each, that length)."""
+    order = np.lexsort((np.arange(len(lengths)), lengths))
+    order = order[lengths[order] > 0]
+    bits = max(1, int(lengths.max(initial=1)))
+    return order, np.int64(1) << (bits - lengths[order].astype(np.int64)), bits
+
+
 def canonical(lengths: np.ndarray) -> np.ndarray:
     """Codes in order of (length, id)."""
     codes = np.zeros(len(lengths), np.uint64)
-    code = last = 0
-    for i in np.lexsort((np.arange(len(lengths)), lengths)):
-        if n := int(lengths[i]):
-            code <<= n - last
-            codes[i], last, code = code, n, code + 1
+    order, patterns, bits = _in_order(lengths)
+    codes[order] = (np.cumsum(patterns) - patterns) >> (bits - lengths[order].astype(np.int64))
     return codes
 
 
@@ -86,15 +92,11 @@ class Decoder:
     """A table over all bit patterns of the longest code's length."""
 
     def __init__(self, lengths: np.ndarray):
-        self.bits = max(1, int(lengths.max(initial=1)))
-        self._symbol = np.zeros(1 << self.bits, np.int64)
-        self._length = np.ones(1 << self.bits, np.int64)
-        codes = canonical(lengths).astype(np.int64)
-        for i in np.flatnonzero(lengths):
-            free = self.bits - int(lengths[i])
-            at = int(codes[i]) << free
-            self._symbol[at:at + (1 << free)] = i
-            self._length[at:at + (1 << free)] = lengths[i]
+        order, patterns, self.bits = _in_order(lengths)
+        # Id and code length in one number; a pattern that no code begins is the id 0 of one bit.
+        self._entry = np.ones(1 << self.bits, np.int64)
+        found = np.repeat(order << 5 | lengths[order].astype(np.int64), patterns)
+        self._entry[:len(found)] = found
 
     def __call__(self, stream: bytes, stops: np.ndarray, n: int) -> np.ndarray:
         padded = stream + b"\0" * (-len(stream) % 4 + 4 * STRIDE)
@@ -104,9 +106,9 @@ class Decoder:
         shift, mask, last = 64 - self.bits, np.uint64((1 << self.bits) - 1), len(pairs) - 1
         for step in range(min(STRIDE, n)):
             window = pairs[np.minimum(at >> 5, last)] >> (shift - (at & 31)).astype(np.uint64) & mask
-            out[step] = self._symbol[window]
-            at = at + self._length[window]
-        return out.T.reshape(-1)[:n]
+            out[step] = found = self._entry[window]
+            at = at + (found & 31)
+        return (out.T >> 5).reshape(-1)[:n]
 
 
 def tokenised(docs: DataFrame, tokenizer: str, end_id: int, block_tokens: int) -> DataFrame:
@@ -130,7 +132,8 @@ def tokenised(docs: DataFrame, tokenizer: str, end_id: int, block_tokens: int) -
             found = np.bincount(line, minlength=len(total))
             found[:len(total)] += total
             total = found
-            return row(first, docs_held, sizes, line.astype("<u4").tobytes(), None)
+            # Two bytes per id where they hold every id.
+            return row(first, docs_held, sizes, line.astype("<u2" if len(total) <= 1 << 16 else "<u4").tobytes(), None)
 
         for batch in batches:
             texts = (text.as_py() for text in batch.column(1))
@@ -194,7 +197,8 @@ def write_corpus(docs: DataFrame, path: str | None = None, tokenizer: str | None
         codes = canonical(lengths)
         for batch in batches:
             for k, data in enumerate(batch.column("ids")):
-                stream, bits, stops = encode_ids(np.frombuffer(data.as_buffer(), "<u4").astype(np.int64), lengths, codes)
+                ids, n = data.as_buffer(), pc.sum(batch.column("sizes")[k].values).as_py()
+                stream, bits, stops = encode_ids(np.frombuffer(ids, f"<u{ids.size // n}").astype(np.int64), lengths, codes)
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(c).slice(k, 1) for c in ("shard", "first", "doc_ids", "sizes")),
                      pa.array([stops], pa.list_(pa.int32())), pa.array([bits], pa.int64()), pa.array([stream], pa.binary())],

@@ -122,6 +122,13 @@ def test_encoder_works_out_a_piece_once(encode_whole):
     assert encode._tokenizer.words + encode._plain.words <= len({"word", "çà", "(", '"', ",", "!!", "-", "***", "7"})
 
 
+def test_corpus_with_ids_of_two_and_four_bytes(spark, odd, encode_whole):
+    for end_id in (1, 70_000):
+        path = huffman.write_corpus(odd, end_id=end_id, block_tokens=50)
+        got = Counter((r.doc_id, r.n_tokens, bytes(r.ids)) for r in huffman.read_corpus(spark, path).collect())
+        assert got == Counter((doc, len(ids), np.array(ids, "<u4").tobytes()) for doc, text in odd_rows() for ids in ([*encode_whole(text), end_id],))
+
+
 def test_pack(odd, none, encode_whole):
     pieces, placed = packing.pack(odd, max_tokens=64)
     rows = placed.collect()
