@@ -204,3 +204,10 @@ def test_tester_lines_of_odd_shapes(spark):
     feed = spark.createDataFrame(list(enumerate(lines)), "seq long, value string")
     got = {r.seq: (r.eqp_id, r.begin_time, r.uoc) for r in wide.parse_tester(feed).collect()}
     assert got == {0: ("Z2-CT01", "2024-01-05 10:00:07", "7"), 1: ("Z2-CT01", "2024-01-05 10:00:07", "7"), 9: ("", "1970-01-01 00:00:00", "8")}
+
+
+def test_tester_columns_are_written_once(spark):
+    """Behind the parsed record one projection makes all columns, and the time of a line is read once."""
+    plan = jobs.tester_outputs(feed(spark, {"data": {"eqp_id": "Z1-H1"}}))["full"]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("gettimestamp(begin_time") == 1
+    assert sum(line.lstrip(" +-:").startswith("Project") and "uniqueid#" in line for line in plan.split("\n")) == 1
